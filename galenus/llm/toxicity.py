@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -56,7 +57,7 @@ class OrdinalModel:
         self._of_word: dict[str, tuple[int, ...]] = {}
 
     def row(self, text: str | None) -> tuple[list[int], list[float]]:
-        """Sparse log(1 + count) features of a whole text."""
+        """Sparse features 1 + log(count) of a whole text."""
         counts: dict[int, int] = {}
         for w, n in Counter(WORD.findall((text or "").lower())).items():
             at = self._of_word.get(w)
@@ -68,7 +69,7 @@ class OrdinalModel:
                 self._of_word[w] = at
             for i in at:
                 counts[i] = counts.get(i, 0) + n
-        return list(counts), [float(np.log1p(n)) for n in counts.values()]
+        return list(counts), [1.0 + math.log(n) for n in counts.values()]
 
     def exceed(self, text: str | None) -> np.ndarray:
         """P(grade > k) for each cut; they fall with k."""
@@ -77,7 +78,7 @@ class OrdinalModel:
         return _sigmoid(score - self.cuts)
 
 
-def fit_ordinal(x: np.ndarray, grades: np.ndarray, features: list[str], l1: float = 2e-3, l2: float = 1e-4, steps: int = 400) -> OrdinalModel:
+def fit_ordinal(x: np.ndarray, grades: np.ndarray, features: list[str], l1: float = 1e-4, l2: float = 1e-4, steps: int = 400) -> OrdinalModel:
     """Penalised likelihood by accelerated proximal gradient steps. Grades are 0..K-1; a lone grade gives a constant model."""
     top = int(grades.max(initial=0))
     if top == 0 or len(grades) == 0:
@@ -161,7 +162,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     grades = toxic + toxic * (counts[:, whole].sum(axis=1) >= STRONG)
     if grades.max() == 2 and not (grades == 1).any():
         grades = toxic
-    return fit_ordinal(np.log1p(counts), grades, features)
+    return fit_ordinal(np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0), grades, features)
 
 
 def severity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
