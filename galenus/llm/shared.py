@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest serialised size, in bytes, of a relation that may be broadcast.
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 4 << 20
 
 #: Rows of one Arrow batch; with texts of some 100 kB a batch stays near 50 MB.
 BATCH_ROWS = 500
 
+#: The same for rows of a few numbers.
+NARROW_BATCH_ROWS = 20_000
+
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which all executors share.
@@ -35,9 +38,9 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches, since one text can be very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Bound the Arrow batches of what runs next, since one text can be very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from galenus.llm.components import connected_components
 from galenus.llm.golay import ball_masks, fingerprint_keys
-from galenus.llm.shared import as_table, maybe_broadcast, partitions, small_batches
+from galenus.llm.shared import NARROW_BATCH_ROWS, as_table, maybe_broadcast, partitions, small_batches
 
 SHINGLE_WORDS, SEED, MAX_BITS = 4, 42, 4
 
 #: A key that more distinct fingerprints share is resolved by exact ball keys instead of comparisons.
 DENSE_KEY = 128
 
+#: Sorted rows that a verifying task holds at a time, besides one key's.
+HELD_ROWS = 1 << 17
+
 
 def fingerprint(text: bytes | None) -> int:
     """Bit i is 1 if it is set in over half the XXH64 values of the text's word shingles; no words: 0."""
@@ -78,8 +81,26 @@ def _edges(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["u", "v"])
 
 
+def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the same fingerprints as all of them do: those that join two groups when they come up."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[p] if p in parent else p
+        return x
+
+    keep = []
+    for i, (x, y) in enumerate(zip(u.tolist(), v.tolist(), strict=True)):
+        a, b = root(x), root(y)
+        if a != b:
+            parent[a] = b
+            keep.append(i)
+    return u[keep], v[keep]
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key: the verified links within each key, or for a dense key its members as loops (u, u)."""
+    """Of rows sorted by key: verified links that connect what all those within the keys do, and the members of dense keys as loops (u, u)."""
     keys = fps = np.zeros(0, dtype=np.int64)
     dense = None
 
@@ -90,7 +111,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loops = fps[of_row > DENSE_KEY]
         keep = (of_row > 1) & (of_row <= DENSE_KEY)
         k, f = keys[keep], fps[keep]
-        us, vs = [loops], [loops]
+        us, vs = [k[:0]], [k[:0]]
         for d in range(1, DENSE_KEY):
             same = k[d:] == k[:-d] if len(k) > d else np.zeros(0, dtype=bool)
             if not same.any():
@@ -99,7 +120,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = (np.bitwise_count((u ^ v).view(np.uint64)) <= MAX_BITS) & (u != v)
             us.append(u[near])
             vs.append(v[near])
-        return _edges(np.concatenate(us), np.concatenate(vs))
+        u, v = _forest(np.concatenate(us), np.concatenate(vs))
+        return _edges(np.concatenate((u, loops)), np.concatenate((v, loops)))
 
     for b in batches:
         k, f = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -111,7 +133,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 dense = None
             k, f = k[n:], f[n:]
         keys, fps = np.concatenate((keys, k)), np.concatenate((fps, f))
-        if not len(keys):
+        if len(keys) < HELD_ROWS and not (len(keys) > DENSE_KEY and keys[0] == keys[-1]):
             continue
         tail = int(np.searchsorted(keys, keys[-1]))
         yield resolve(keys[:tail], fps[:tail])
@@ -136,11 +158,12 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     """Links (u, v) that connect the distinct fingerprints ``fps`` (fp) exactly as all pairs within MAX_BITS do.
 
     A key's members are compared where they stand side by side after one shuffle
-    on the key; only verified links leave the task. A key with over DENSE_KEY
+    on the key; only verified links that join two groups leave the task. A key with over DENSE_KEY
     members yields no pairs: its members get the centres of all balls of radius
     2 that hold them, and meet exactly where they are within 4 bits, as a chain.
     """
     n = partitions(fps.sparkSession)
+    small_batches(fps.sparkSession, NARROW_BATCH_ROWS)
     keyed = fps.select("fp").mapInArrow(_golay_keys, "key long, fp long").repartition(n, "key").sortWithinPartitions("key", "fp")
     found = as_table(keyed.mapInArrow(_verify, "u long, v long").distinct(), "links")
     dense = found.filter("u = v").select(F.col("u").alias("fp")).repartition(n, "fp")
@@ -178,7 +201,7 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     ids = classes.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
     ids = as_table(ids.filter("doc_id <> least or n > 1"), "gone")
     gone, again = ids.filter("doc_id <> least").select("doc_id"), ids.filter("doc_id = least").select("doc_id")
-    kept = docs.join(maybe_broadcast(gone, 32), "doc_id", "left_anti")
+    kept = docs.join(maybe_broadcast(gone, 32), "doc_id", "left_anti").select(*docs.columns)
     if not again.head(1):
         return kept
     again = maybe_broadcast(again, 32)
