@@ -194,4 +194,4 @@ def severity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
 def keep_civil(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose doc_id has no row graded toxic. Rows without a doc_id stay."""
     gone = as_table(severity(docs, labels, threshold).filter("toxic and doc_id is not null").select("doc_id").distinct(), "toxic")
-    return docs.join(maybe_broadcast(gone, 32), "doc_id", "left_anti")
+    return docs.join(maybe_broadcast(gone, 32), "doc_id", "left_anti").select(*docs.columns)
