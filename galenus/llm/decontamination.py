@@ -16,6 +16,9 @@ GRAM = 6
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: The same words before A-Z are lower-cased, to count them without making strings.
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
@@ -109,7 +112,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     per_doc = as_table(per_doc.select("doc_id", "key", F.aggregate("spans", start, extend)["n"].alias("n_hit"), "ids"), "hits")
 
-    sized = base.select("doc_id", _row_key(F.col("text")).alias("key"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    sized = base.select("doc_id", _row_key(F.col("text")).alias("key"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(RAW_WORD)).cast("long").alias("n_words"))
     same = [F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), F.col("d.key") == F.col("h.key")]
     n_hit = F.coalesce("h.n_hit", F.lit(0).cast("long"))
     return sized.alias("d").join(per_doc.alias("h"), same, "left").select(
@@ -123,7 +126,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id has no row that holds a benchmark window. Rows without a doc_id stay."""
     gone = as_table(contamination(docs, benchmark).filter("contaminated and doc_id is not null").select("doc_id").distinct(), "contaminated")
-    return docs.join(maybe_broadcast(gone, 32), "doc_id", "left_anti")
+    return docs.join(maybe_broadcast(gone, 32), "doc_id", "left_anti").select(*docs.columns)
 
 
 ORACLE = r"""
