@@ -72,7 +72,7 @@ def cap_element(text: Column, most_bytes: int = 2000) -> Column:
     back = lambda k: F.conv(F.hex(F.substring(raw, room - k + 1, 1)), 16, 10).cast("int")
     cut = F.lit(room)
     for k in range(3):
-        cut = F.when((cut == room - k) & back(k - 1).between(128, 191), room - k - 1).otherwise(cut)
+        cut = F.when((cut == room - k) & back(k).between(128, 191), room - k - 1).otherwise(cut)
     return F.when(F.octet_length(text) <= most_bytes, text).otherwise(F.concat(F.decode(raw.substr(F.lit(1), cut), "UTF-8"), F.lit("…")))
 
 

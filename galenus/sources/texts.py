@@ -39,10 +39,10 @@ def read_obo(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def read_json_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(records with a declared schema, count of bad lines) of a JSON-lines file; a bad line is counted, not raised."""
-    rows = spark.read.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path).select("*", F.col("_metadata.file_path").alias("source_file"))
-    text = spark.read.text(path)
-    parsed = text.select(F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("r")).agg(F.count_if(F.col("r._corrupt").isNotNull()).alias("bad_lines"))
-    return rows.filter("_corrupt is null").drop("_corrupt"), parsed
+    lines = spark.read.text(path).filter("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("source_file"))
+    parsed = lines.select(F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"), "source_file")
+    good = parsed.filter("r._corrupt is null").select("r.*", "source_file").drop("_corrupt")
+    return good, parsed.agg(F.count_if(F.col("r._corrupt").isNotNull()).alias("bad_lines"))
 
 
 def read_multilingual(spark: SparkSession, path: str, least_chars: int = 50) -> tuple[DataFrame, DataFrame]:

@@ -144,7 +144,8 @@ def parse_jats(files: DataFrame) -> DataFrame:
                     out.append({**jats_fields(content), "source_file": path, "error": None})
                 except Exception as e:
                     out.append({"source_file": path, "error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in JATS_SCHEMA.split(", ")]).astype({"year": "Int32"})
+            table = pd.DataFrame(out, columns=[c.split()[0] for c in JATS_SCHEMA.split(", ")], dtype=object)
+            yield table.where(table.notna(), None)
 
     return files.select("path", "content").mapInPandas(parse, JATS_SCHEMA)
 

@@ -1 +1 @@
-"""Placeholder."""
+"""Incremental ingest: the file is the unit of change."""
