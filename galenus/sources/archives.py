@@ -103,3 +103,19 @@ def unique_names(names: list[str]) -> list[str]:
         seen[n] = seen.get(n, 0) + 1
         out.append(n if seen[n] == 1 else f"{n}_{seen[n]}")
     return out
+
+
+def read_code_zip(spark: SparkSession, path: str, member: str, system: str, code: str, label: str) -> DataFrame:
+    """(system_key, code, label) of a CSV member of a zip file."""
+    text = read_members(spark, path, member).filter("content is not null").select(F.explode(F.split(F.decode("content", "UTF-8"), r"\r?\n")).alias("line"))
+    head = text.select("line").head()[0]
+    names = pd.read_csv(io.StringIO(head), nrows=0).columns.to_list()
+    row = F.from_csv("line", ", ".join(f"`{n}` string" for n in names))
+    parsed = text.filter((F.col("line") != head) & (F.col("line") != "")).select(row.alias("r"))
+    return parsed.select(F.lit(system).alias("system_key"), F.col(f"r.`{code}`").alias("code"), F.col(f"r.`{label}`").alias("label"))
+
+
+def read_code_json(spark: SparkSession, path: str, system: str, field: str = "content") -> DataFrame:
+    """(system_key, code, label) of JSON lists of terms."""
+    raw = spark.read.schema(f"{field} array<struct<code:string,english:string,status:string>>").option("multiLine", "true").json(path)
+    return raw.select(F.explode(field).alias("t")).filter("t.code is not null").select(F.lit(system).alias("system_key"), "t.code", F.col("t.english").alias("label"))
