@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from galenus.llm.shared import as_table, maybe_broadcast, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-#: Something that may be an identifier: a run without white space that holds a digit or an @.
-TOKEN = re.compile(r"[^\s\"'<>()\[\]{},;|]*[0-9@][^\s\"'<>()\[\]{},;|]*")
+#: What makes a run of characters look like an identifier, and what ends it.
+MARK, EDGE, REST = re.compile("[0-9@]"), re.compile(r"[\s\"'<>()\[\]{},;|]"), re.compile(r"[^\s\"'<>()\[\]{},;|]{0,65}")
 LEFT = re.compile(r"([^\W\d_]+)[^\w]{1,3}([^\W\d_]+)[^\w]{1,3}$")
 
 #: Bootstrapping: rounds of scoring, and what a pattern must reach to be believed.
@@ -39,11 +40,36 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def email_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping addresses, found from each @ outwards: time stays linear in long runs of letters."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > free and text[start - 1] in LOCAL:
+            start -= 1
+        m = DOMAIN.match(text, at + 1) if start < at else None
+        if m:
+            yield start, m.end()
+            free = m.end()
+        at = text.find("@", m.end() if m else at + 1)
+
+
+def identifier_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of at most MAX_TOKEN characters between white space, quotes and brackets that hold a digit or an @."""
+    at = 0
+    while m := MARK.search(text, at):
+        a = m.start()
+        before = EDGE.split(text[max(0, a - MAX_TOKEN - 1) : a])[-1]
+        start, at = a - len(before), REST.match(text, a).end()
+        if at - start <= MAX_TOKEN:
+            yield start, at
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, order of the kind, end) of the seed entities, sorted; failing matches are dropped without retries."""
     out = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        out += [(s, 0, e) for s, e in email_spans(text)]
     for m in IP.finditer(text):
         if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split(".")):
             out.append((m.start(), 1, m.end()))
@@ -73,8 +99,8 @@ def occurrences(text: str, seeds: list[tuple[int, int, int]]) -> list[tuple[str,
         if (p := _context(text, start)) is not None:
             out.append((p, text[start:end], kind, start, end))
     busy, i = sorted((s, e) for s, _, e in seeds), 0
-    for m in TOKEN.finditer(text):
-        s, e = m.start(), m.start() + len(m.group().rstrip(".:!?"))
+    for s, e in identifier_tokens(text):
+        e = s + len(text[s:e].rstrip(".:!?"))
         while i < len(busy) and busy[i][1] <= s:
             i += 1
         if (i < len(busy) and busy[i][0] < e) or not MIN_TOKEN <= e - s <= MAX_TOKEN:

@@ -243,6 +243,7 @@ def test_html():
     assert html.main_text(PAGE) == "Head <line>\nFirst part goes on\nSecond & part.\nA 中 b"
     bare = "<div id=sidebar>links</div><div><p>" + "long text " * 20 + "</p><p>more</p></div><div class='footer'>f</div>"
     assert html.main_text(bare) == ("long text " * 20).strip() + "\nmore"
+    assert html.main_text('<div class="post-header"><h1>Title</h1></div><p>body</p><div class="site-header">x</div>') == "Title\nbody"
     assert html.main_text("<p>cut off <em>tex") == "cut off tex" and html.main_text("<nav>only</nav>") == ""
 
 
@@ -338,3 +339,14 @@ def test_pipeline_against_its_stages(spark, sf, docs):
     for r in corpus_pipeline.run(spark, sf).collect():
         got[r.doc_id] += r.length
     assert got == want
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    began = time.time()
+    for text in ("a" * 300_000 + "@", "1" * 300_000, "x9" * 150_000, "a@" * 100_000, "1." * 100_000):
+        spans = pii.base_spans(text)
+        pii.occurrences(text, spans)
+    assert time.time() - began < 20
+    assert pii.base_spans("a@b.c@d.e") == plain_personal("a@b.c@d.e")
