@@ -26,6 +26,7 @@ NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comments-list commentlist cookie cookies cookie-banner consent disqus footer footnav header masthead menu nav navbar "
     "navigation newsletter notice notices pager pagination popup promo promoted related replies respond share sharing sidebar signup site-footer site-header site-nav skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+CONTENT = frozenset("article post entry content story page body".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -90,7 +91,12 @@ def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
             return True
         if key in ("class", "id"):
             names.update(value.split())
-    words = {w for n in names for w in (n, *re.split(r"[-_]+", n))} if tag not in ("html", "body", "article", "main") else set()
+    words: set[str] = set()
+    if tag not in ("html", "body", "article", "main"):
+        for n in names:
+            parts = re.split(r"[-_]+", n)
+            own = bool(CONTENT.intersection(parts))  # an article-header holds the headline
+            words.update((n, *(w for w in parts if not (own and w in ("header", "masthead", "text")))))
     return bool(words & NAMES) or bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes))
 
 
