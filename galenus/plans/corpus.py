@@ -64,9 +64,9 @@ select source, lang, count(*) as n_docs, cast(sum(n_chars) as bigint) as n_chars
 """)
 def curated_corpus_counts(spark: SparkSession, d: str) -> DataFrame:
     """Exact deduplication, then decontamination, counted by source and language."""
-    docs = table(spark, d, "documents").withColumn("content_hash", text.content_hash(F.col("text"))).filter("content_hash is not null")
-    kept = curate.exact_duplicates(docs)
-    clean = curate.decontaminate(kept, table(spark, d, "benchmark"))
+    docs = table(spark, d, "documents")
+    narrow = docs.select("doc_id", "source", "lang", "n_chars", text.content_hash(F.col("text")).alias("content_hash")).filter("content_hash is not null")
+    clean = curate.exact_duplicates(narrow).join(curate.contaminated_ids(docs, table(spark, d, "benchmark")), "doc_id", "left_anti")
     return clean.groupBy("source", "lang").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"))
 
 
