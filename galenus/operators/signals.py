@@ -78,16 +78,21 @@ def drug_rows(reports: DataFrame, drugs: DataFrame, entry_moiety: DataFrame) ->
 
 
 def report_moieties(rows: DataFrame) -> DataFrame:
-    """(rid, quarter, moiety, suspect): a salt and its base in one report are one moiety; a null role isn't suspect."""
-    return rows.groupBy("rid", "quarter", "moiety").agg(F.bool_or(F.coalesce(F.col("role") == "suspect", F.lit(False))).alias("suspect"))
+    """(rid, quarter, moiety, suspect): a salt and its base in one report are one moiety; a null role isn't suspect.
+
+    Dealt by report, so that all later groupings within a report need no further shuffle.
+    """
+    suspect = F.bool_or(F.coalesce(F.col("role") == "suspect", F.lit(False)))
+    return rows.repartition("rid").groupBy("rid", "quarter", "moiety").agg(suspect.alias("suspect"))
 
 
 def listed_reports(moieties: DataFrame, cap: int = PAIR_CAP) -> DataFrame:
-    """(rid, quarter, items, over_cap); a report over the cap carries no items, so no array outgrows the cap."""
-    sizes = moieties.groupBy("rid", "quarter").agg(F.count("*").alias("n"))
-    within = moieties.join(sizes.filter(F.col("n") <= cap).select("rid"), "rid", "left_semi")
-    arrays = within.groupBy("rid").agg(F.collect_list(F.struct("moiety", "suspect")).alias("items"))
-    return sizes.join(arrays, "rid", "left").select("rid", "quarter", "n", "items", (F.col("n") > cap).alias("over_cap"))
+    """(rid, quarter, n, items, over_cap); a report over the cap carries no items, and no array outgrows the cap."""
+    w = Window.partitionBy("rid", "quarter").orderBy("moiety")
+    ranked = moieties.withColumn("k", F.row_number().over(w))
+    some = F.collect_list(F.when(F.col("k") <= cap, F.struct("moiety", "suspect")))
+    lists = ranked.groupBy("rid", "quarter").agg(F.max("k").cast("long").alias("n"), some.alias("items"))
+    return lists.select("rid", "quarter", "n", F.when(F.col("n") <= cap, F.col("items")).alias("items"), (F.col("n") > cap).alias("over_cap"))
 
 
 def pair_quarter(moieties: DataFrame, cap: int = PAIR_CAP) -> DataFrame:
@@ -96,8 +101,7 @@ def pair_quarter(moieties: DataFrame, cap: int = PAIR_CAP) -> DataFrame:
     Each report's short array is unnested twice in place: no join, and partial
     aggregation before the one shuffle of pairs.
     """
-    lists = listed_reports(moieties, cap).filter("items is not null")
-    first = lists.select("quarter", "items", F.explode("items").alias("x"))
+    first = listed_reports(moieties, cap).select("quarter", "items", F.explode("items").alias("x"))
     pairs = first.select("quarter", F.col("x.moiety").alias("a"), F.col("x.suspect").alias("s"), F.explode("items").alias("y")).select("quarter", "a", "s", F.col("y.moiety").alias("b"))
     return pairs.filter("a <> b").groupBy("a", "b", "quarter").agg(F.count_if("s").alias("reports_suspect"), F.count("*").alias("reports_any"))
 
