@@ -151,7 +151,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     if not features:
         return fit_ordinal(np.zeros((0, 0)), np.zeros(0, dtype=int), [])
     wanted = F.map_filter("f", lambda k, _: k.isin(features))
-    got = rows.select("toxic", wanted.alias("f")).orderBy("toxic", F.to_json("f")).collect()
+    got = sorted(rows.select("toxic", wanted.alias("f")).collect(), key=lambda r: (r.toxic, sorted(r.f.items())))
     at = {f: i for i, f in enumerate(features)}
     counts = np.zeros((len(got), len(features)))
     for i, r in enumerate(got):
