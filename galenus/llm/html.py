@@ -51,7 +51,7 @@ class _Reader:
     parts: list[str] = field(default_factory=list)
 
     def flush(self) -> None:
-        text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
+        text = SPACE.sub(" ", "".join(self.parts)).strip()
         self.parts.clear()
         if text:
             junk = any(j for _, j, _ in self.open)
@@ -108,9 +108,9 @@ def page_lines(page: str) -> list[Line]:
         if m is None:
             rest = page[at:]
             cut = re.search(r"<[A-Za-z/!?][^<]*$", rest)  # a tag that the page's end cuts
-            reader.parts.append(rest[: cut.start()] if cut else rest)
+            reader.parts.append(html.unescape(rest[: cut.start()] if cut else rest))
             break
-        reader.parts.append(page[at : m.start()])
+        reader.parts.append(html.unescape(page[at : m.start()]))
         at = m.end()
         if m[2] is None:
             continue
