@@ -128,3 +128,15 @@ def token_count(text: Column) -> Column:
 def heading_key(text: Column) -> Column:
     """Letters and digits only, lower case: equal for headings that differ in punctuation."""
     return F.regexp_replace(F.lower(text), r"(?U)[^\p{L}\p{N}]+", "")
+
+
+# What markup hides, and what ends a line.
+HIDDEN = r"(?is)<(?:script|style|title)[^>]*>.*?</(?:script|style|title)>|<!--.*?-->"
+BREAKS = r"(?i)<(?:br|/?(?:p|div|h[1-6]|li|ul|ol|tr|table|nav|article|section|header|footer|aside|body))(?:\s[^>]*)?/?>"
+
+
+def markup_lines(markup: Column) -> Column:
+    """Plain text of markup: a line per block, tags gone, white space folded, empty lines dropped. References stay."""
+    broken = F.regexp_replace(F.regexp_replace(F.coalesce(markup, F.lit("")), HIDDEN, ""), BREAKS, "\n")
+    lines = F.transform(F.split(F.regexp_replace(broken, r"<[^>]*>", ""), "\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
+    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")

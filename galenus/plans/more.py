@@ -226,3 +226,14 @@ def newest_cases(spark: SparkSession, d: str) -> DataFrame:
     xref = subs.select("substance_key", F.lit("name").alias("id_type"), F.col("substance_key").cast("string").alias("id_value"))
     out = rules.cases(records, xref, subs, 25)
     return out.select("record_key", "event_date", "moiety", F.col("interval.start").alias("start_date"), F.col("interval.end").alias("end_date"))
+
+
+@query(r"""
+with b as (select page_id, regexp_replace(regexp_replace(html, '(?is)<(?:script|style|title)[^>]*>.*?</(?:script|style|title)>|<!--.*?-->', '', 'g'), '(?i)<(?:br|/?(?:p|div|h[1-6]|li|ul|ol|tr|table|nav|article|section|header|footer|aside|body))(?:\s[^>]*)?/?>', chr(10), 'g') as t from pages),
+l as (select page_id, list_filter(list_transform(string_split(regexp_replace(t, '<[^>]*>', '', 'g'), chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') as ls from b)
+select page_id, len(ls) as n_lines, sha256(array_to_string(ls, chr(10))) as digest from l
+""")
+def markup_to_text(spark: SparkSession, d: str) -> DataFrame:
+    """All lines of a page, menus too: block markup to plain lines."""
+    lines = table(spark, d, "pages").select("page_id", text.markup_lines(F.col("html")).alias("t"))
+    return lines.select("page_id", F.when(F.col("t") == "", 0).otherwise(F.size(F.split("t", "\n"))).cast("long").alias("n_lines"), F.sha2("t", 256).alias("digest"))
