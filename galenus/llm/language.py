@@ -77,7 +77,7 @@ class BackoffModel:
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language, ties to the first by name, and its share of the likelihood."""
         counts = Counter(WORD.findall((text or "").lower()))
-        if not counts or not self.langs:
+        if not counts or not self.langs or not any(map(str.isalpha, text)):  # words may be numerals such as a superscript two
             return UNKNOWN, 0.0
         if len(self._known) > CACHE_WORDS:
             self.forget()

@@ -230,6 +230,7 @@ def test_language_on_held_out_rows(spark, sf, docs):
 
 def test_unseen_words_back_off_to_shorter_grams():
     model = language.BackoffModel(["a", "b"], [-0.7, -0.7], {"known": [9, 1]}, {"zq": [0, 9], "z": [5, 5], "q": [5, 5]})
+    assert model.predict("² ³") == ("und", 0.0) and model.predict("known")[0] == "a"
     assert model.word("known").argmax() == 0 and model.word("zqx").argmax() == 1 and not model.word("yyy").any()
 
 
