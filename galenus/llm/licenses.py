@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +37,13 @@ def template_bigrams(text: str) -> list[str]:
 
 
 def size_bounds(n: int, threshold: float) -> tuple[int, int]:
-    """Numbers of distinct bigrams that can reach ``threshold`` against ``n``: 2 min(a, n) / (a + n) >= threshold."""
-    ratio = threshold / (2 - threshold)
-    return int(-(-n * ratio // 1)), int(n / ratio)
+    """Numbers of distinct bigrams that can reach ``threshold`` against ``n``: 2 min(a, n) / (a + n) >= threshold.
+
+    In exact fractions; scores are rounded to six digits, so one half of the last digit less reaches it too.
+    """
+    least = Fraction(str(threshold)) - Fraction(1, 2_000_000)
+    ratio = least / (2 - least)
+    return -(-n * ratio // 1), n // ratio
 
 
 def license_scan(docs: DataFrame, threshold: float = THRESHOLD, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
