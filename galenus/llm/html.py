@@ -150,18 +150,16 @@ def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int,
 
 
 def main_lines(lines: list[Line], window: int = WINDOW) -> list[Line]:
-    """Lines between the surge and the dive of the stretch with the largest window sum.
+    """Lines between the surge and the dive of each stretch.
 
     Lines in boilerplate count 0, and if the page marks articles also those
-    outside them; then each stretch is main text. Lines that count 0 are left
-    out of a stretch.
+    outside them. Nothing else parts two stretches, so an aside or a list of
+    links within the text ends none of it. Lines that count 0 are left out of a
+    stretch.
     """
     marked = any(x.article and x.length for x in lines)
     lengths = [x.length if x.article or not marked else 0 for x in lines]
-    found = stretches(lengths, window)
-    if found and not marked:
-        found = [max(found, key=lambda s: (s[2], -s[0]))]
-    return [lines[i] for surge, dive, _ in found for i in range(surge, dive) if lengths[i]]
+    return [lines[i] for surge, dive, _ in stretches(lengths, window) for i in range(surge, dive) if lengths[i]]
 
 
 def main_text(page: str | None) -> str:

@@ -141,6 +141,16 @@ def test_html(spark):
     assert html.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_html_aside_in_unmarked_text():
+    text = "<div>" + "<p>first part of it</p>" * 5
+    aside = "<aside><ul><li>one<li>two<li>three</ul></aside>"
+    rest = "<p>the rest</p>" * 2 + "</div>"
+    want = "\n".join(["first part of it"] * 5 + ["the rest"] * 2)
+    nav = "<nav><a href=/>Home</a><p>x<p>y<p>z</nav>"
+    assert html.main_text(nav + text + aside + rest + "<footer>f</footer>") == want
+    assert html.main_text(nav + text + aside * 3 + rest + "<footer>f</footer>") == want
+
+
 def test_decontamination(docs, none, bench):
     got = decontamination.contamination(docs, bench).collect()
     assert len(got) == len(TEXTS)
