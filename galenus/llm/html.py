@@ -6,6 +6,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +27,9 @@ NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comments-list commentlist cookie cookies cookie-banner consent disqus footer footnav header masthead menu nav navbar "
     "navigation newsletter notice notices pager pagination popup promo promoted related replies respond share sharing sidebar signup site-footer site-header site-nav skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+STATES = frozenset("has no with without".split())  # has-sidebar says what a layout holds, not what the element is
+NAMED = ("thread", "name", "part")
+THREADS = frozenset("comment comments commentlist disqus related replies respond".split())  # lists of texts, never a layout
 CONTENT = frozenset("article post entry content story page body".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -37,37 +41,48 @@ SPACE = re.compile(r"\s+")
 
 @dataclass
 class Line:
-    """A block's text with white space folded; ``length`` counts towards the distribution, 0 for boilerplate."""
+    """A block's text with white space folded; ``length`` counts towards the distribution, 0 for boilerplate.
+
+    ``named`` are the open elements that only their class or id calls boilerplate."""
 
     text: str
     length: int
     article: bool
+    named: tuple[int, ...] = ()
 
 
 @dataclass
 class _Reader:
     lines: list[Line] = field(default_factory=list)
-    open: list[tuple[str, bool, bool]] = field(default_factory=list)  # tag, boilerplate, article
+    open: list[tuple[str, str, bool, int]] = field(default_factory=list)  # tag, boilerplate, article, number
     parts: list[str] = field(default_factory=list)
+    kinds: list[str] = field(default_factory=list)  # of the elements with a boilerplate name, by number
+    main: set[int] = field(default_factory=set)  # numbers of the named elements around a <main>
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         self.parts.clear()
         if text:
-            junk = any(j for _, j, _ in self.open)
-            self.lines.append(Line(text, 0 if junk else len(text), any(a for _, _, a in self.open)))
+            junk = any(j == "element" for _, j, _, _ in self.open)
+            named = tuple(k for _, j, _, k in self.open if j in NAMED)
+            self.lines.append(Line(text, 0 if junk else len(text), any(a for _, _, a, _ in self.open), named))
 
     def start(self, tag: str, attributes: str) -> None:
         if tag not in INLINE:
             self.flush()
-        if tag in CLOSES_P and any(t == "p" for t, _, _ in self.open):
+        if tag in CLOSES_P and any(t == "p" for t, *_ in self.open):
             self.end("p")
-        if tag == "li" and any(t == "li" for t, _, _ in self.open):
-            inner = next(t for t, _, _ in reversed(self.open) if t in ("li", "ul", "ol", "menu"))
+        if tag == "li" and any(t == "li" for t, *_ in self.open):
+            inner = next(t for t, *_ in reversed(self.open) if t in ("li", "ul", "ol", "menu"))
             if inner == "li":
                 self.end("li")
         if tag not in VOID and not attributes.endswith("/"):
-            self.open.append((tag, _boilerplate(tag, attributes, any(a for _, _, a in self.open)), tag in ("article", "main")))
+            kind = _boilerplate(tag, attributes, any(a for _, _, a, _ in self.open))
+            if kind in NAMED:
+                self.kinds.append(kind)
+            if tag == "main":
+                self.main.update(k for _, j, _, k in self.open if j in NAMED)
+            self.open.append((tag, kind, tag in ("article", "main"), len(self.kinds) - 1))
 
     def end(self, tag: str) -> None:
         if tag not in INLINE:
@@ -78,26 +93,53 @@ class _Reader:
                 break
 
 
-def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
+def _pieces(name: str) -> list[str]:
+    """A class or id split at - and _, up to one of STATES."""
+    return list(takewhile(lambda w: w not in STATES, re.split(r"[-_]+", name)))
+
+
+def _boilerplate(tag: str, attributes: str, inside: bool) -> str:
+    """What calls the element boilerplate: "element" (tag, role, hidden), "thread" (one of THREADS), "name" (a whole class or id), "part" (a piece of one) or ""."""
     if tag in BOILERPLATE and not (tag == "header" and inside):
-        return True
+        return "element"
     if not attributes:
-        return False
+        return ""
     names: set[str] = set()
     for m in ATTRIBUTE.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
         key = m[1].lower()
         if key == "role" and value in ROLES or key == "aria-hidden" and value == "true":
-            return True
+            return "element"
         if key in ("class", "id"):
             names.update(value.split())
+    if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes):
+        return "element"
+    if tag in ("html", "body", "article", "main"):
+        return ""
     words: set[str] = set()
-    if tag not in ("html", "body", "article", "main"):
-        for n in names:
-            parts = re.split(r"[-_]+", n)
-            own = bool(CONTENT.intersection(parts))  # an article-header holds the headline
-            words.update((n, *(w for w in parts if not (own and w in ("header", "masthead", "text")))))
-    return bool(words & NAMES) or bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes))
+    for n in names:
+        parts = _pieces(n)
+        own = bool(CONTENT.intersection(parts))  # an article-header holds the headline
+        words.update(w for w in parts if not (own and w in ("header", "masthead", "text")))
+    if (words | names) & THREADS:
+        return "thread"
+    return "name" if names & NAMES else "part" if words & NAMES else ""
+
+
+def _settle(lines: list[Line], kinds: list[str], main: set[int]) -> list[Line]:
+    """Lines of elements that their names call boilerplate count 0, but for layout: an element around a <main>, or (threads
+    never) around most of the page's text if it holds all article text or only a piece of a name calls it boilerplate."""
+    inside, article = [0] * len(kinds), [0] * len(kinds)
+    for x in lines:
+        for k in x.named:
+            inside[k] += x.length
+            article[k] += x.length if x.article else 0
+    total, articles = sum(x.length for x in lines), sum(x.length for x in lines if x.article)
+    most = [2 * n > total and (kind == "part" or kind == "name" and 0 < articles == a) for kind, n, a in zip(kinds, inside, article, strict=True)]
+    for x in lines:
+        if not all(k in main or most[k] for k in x.named):
+            x.length = 0
+    return lines
 
 
 def page_lines(page: str) -> list[Line]:
@@ -130,7 +172,7 @@ def page_lines(page: str) -> list[Line]:
                 reader.parts.append(" ")
             reader.start(tag, m[3])
     reader.flush()
-    return reader.lines
+    return _settle(reader.lines, reader.kinds, reader.main)
 
 
 def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:

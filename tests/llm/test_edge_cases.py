@@ -151,6 +151,19 @@ def test_html_aside_in_unmarked_text():
     assert html.main_text(nav + text + aside * 3 + rest + "<footer>f</footer>") == want
 
 
+def test_html_layout_names():
+    text = "<p>some text of the page</p>" * 3
+    want = "\n".join(["some text of the page"] * 3)
+    for name in ("has-sidebar", "no-comments", "with-header", "no-share", "page_with_right_sidebar", "sidebar-left"):
+        assert html.main_text(f"<div id='page' class='{name}'><article>{text}</article><div class='ad-slot'>buy</div></div>") == want
+        assert html.main_text(f"<div id='page' class='{name}'><div>{text}</div><div class='ad-slot'>buy</div></div>") == want
+    assert html.main_text(f"<div class=sidebar><main>{text}</main></div><div>{text * 3}</div>") == want
+    # names still count where they call no layout: an advert, comments and related cards, even long ones
+    assert html.main_text(f"<div>{text}</div><div class='ad-slot'>buy</div>") == want
+    assert html.main_text(f"<div>{text}</div><div class='comments-area'><article>{'I think so. ' * 40}</article></div>") == want
+    assert html.main_text(f"<div>{text}</div><div class='related'><article>card</article></div>") == want
+
+
 def test_decontamination(docs, none, bench):
     got = decontamination.contamination(docs, bench).collect()
     assert len(got) == len(TEXTS)
