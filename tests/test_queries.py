@@ -47,6 +47,12 @@ def test_other_queries_give_rows(spark, sf, name):
     assert registry.queries()[name](spark, sf).count() > 0
 
 
+def test_resolve_entity_reads_the_whole_table(spark, tmp_path):
+    rows = [(8, "Customer#8", "BUILDING"), (9, "Customer#9", "MACHINERY"), (300, "Customer#300", "U8")]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_mktsegment string").write.parquet(str(tmp_path / "customer.parquet"))
+    assert {r.substance_key for r in registry.queries()["resolve_entity"](spark, str(tmp_path)).collect()} == {8, 300}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
