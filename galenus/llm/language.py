@@ -62,7 +62,7 @@ class BackoffModel:
         if got is not None:
             return got
         for n in GRAM_SIZES:
-            found = [self.grams[g] for g in grams(w[:64], n) if g in self.grams]
+            found = [self.grams[g] for g in grams(w, n) if g in self.grams]
             if found:
                 return np.mean(found, axis=0)
         return np.zeros(len(self.langs))
@@ -98,7 +98,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             short: Counter = Counter()
             for w in words:
                 for n in GRAM_SIZES:
-                    short.update(grams(w[:64], n))
+                    short.update(grams(w, n))
             for mark, found in (("w", words), ("g", short)):
                 langs += [lang] * len(found)
                 keys += [mark + k for k in found]

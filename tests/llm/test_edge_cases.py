@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("galenus.llm")
@@ -189,6 +190,14 @@ def test_language(docs, none, spark):
     assert {r.lang_pred for r in language.identify_languages(unknown).collect()} == {"und"}
 
 
+def test_language_of_long_runs():
+    model = language.BackoffModel(["de", "en"], [0.0, 0.0], {}, {"x": [5, 5], "q": [1, 9], "z": [9, 1]})
+    assert model.predict("x" * 100 + "q" * 30)[0] == model.predict("q" * 30 + "x" * 100)[0] == "en"
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": ["a" * 100 + "b"]})
+    keys = {k for b in language._counted(iter([batch])) for k in b.column(1).to_pylist()}
+    assert {"gb", "gaaaab", "gb "} <= keys
+
+
 def test_secrets(docs, none):
     got = secrets.find_secrets(docs).collect()
     assert len(got) == len(TEXTS)
