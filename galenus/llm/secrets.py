@@ -40,6 +40,11 @@ RULES = BASE + MORE
 SEGMENT_ROWS = 4096
 
 MASK = "[SECRET]"
+
+# What belongs to a pem header: all up to the END line or, where that is missing, the key's own headers and base64 lines.
+_GAP = r"\s*(?:\\[nr]\s*){0,4}"
+_BASE64 = rf"(?:{_GAP}(?:Proc-Type|DEK-Info): [^\r\n\\]*){{0,2}}(?:{_GAP}[A-Za-z0-9+/]{{32,}}={{0,2}}){{1,1000}}(?:[ \t]*(?:\r?\n|\\n)[ \t]*[A-Za-z0-9+/]{{1,31}}={{0,2}}(?=[ \t]*(?:$|[\r\n\\\"'])))?"
+PEM_BODY = rf"^(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END [A-Z ]*PRIVATE KEY-----|{_BASE64})"
 _SPAN = "struct<start:int,ord:int,end:int,kind:string>"
 
 
@@ -135,7 +140,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by MASK (overlapping ones by one), and n_chars, if there, counted anew.
 
-    All rows and columns stay; texts without secrets, null ones too, stay as they are.
+    A private key goes with its body. All rows and columns stay; texts without secrets, null ones too, stay as they are.
     """
     kinds = [r.kind for r in RULES]
     spans = secret_spans(docs).select("doc_id", "row", F.array_sort(F.concat(*kinds)).alias("_spans")).filter(F.size("_spans") > 0)
@@ -143,6 +148,12 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(text.cast("string"), F.lit(""))))
     joined = keyed.join(maybe_broadcast(spans, 160), [F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), F.col("_key") == F.col("_row")], "left")
+
+    def whole(s: Column) -> Column:
+        body = F.regexp_extract(F.substring(text, s["end"] + 1, F.char_length(text)), PEM_BODY, 0)
+        end = F.when(s["kind"] == "pem", s["end"] + F.char_length(body)).otherwise(s["end"])
+        return F.struct(s["start"].alias("start"), end.alias("end"))
+
     start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("parts"))
 
     def step(a: Column, s: Column) -> Column:
@@ -152,7 +163,7 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(a["end"], s["end"]).alias("end"), inside.alias("parts"))
 
     rest = lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(text, a["end"] + 1, F.char_length(text)))
-    masked = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", start, step, rest))
+    masked = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate(F.transform("_spans", whole), start, step, rest))
     out = joined.withColumn("text", masked)
     if "n_chars" in docs.columns:
         kept = F.col("n_chars")

@@ -211,6 +211,26 @@ def test_secrets(docs, none):
     assert masked.filter("doc_id = 1").head().text is None
 
 
+def test_private_keys_are_masked_whole(spark):
+    begin, end, full = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "MIIEowIBAAKCAQEA+/bC" * 3 + "wxyz"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n"
+    cases = {
+        f"a\n{begin}\n{head}{full}\n{full}\nQUJD==\n{end}\nplain words": "a\n[SECRET]\nplain words",
+        f"{begin}\n{full}\n{full}\nQUJD==\nplain words follow": "[SECRET]\nplain words follow",
+        f"{begin}\r\n{head}{full}\r\n{full}": "[SECRET]",
+        f"{begin} is a header of plain words": "[SECRET] is a header of plain words",
+        f'key: "{begin}\\n{full}\\n{full}\\nQUJD\\n{end}\\n" b': 'key: "[SECRET]\\n" b',
+        f'key: "{begin}\\n{full}\\nQUJD" b': 'key: "[SECRET]" b',
+        f"\U0001f600 {begin}\n{full}\nand plain words\n{begin}\n{full}\n{end} c": "\U0001f600 [SECRET]\nand plain words\n[SECRET] c",
+        f"{begin}\n" + f"{full}\n" * 1000 + "plain words": "[SECRET]\nplain words",
+        f"{begin}\n" + f"{full}\n" * 5000 + end + " d": "[SECRET] d",
+        f"{begin}\n" + "plain - words " * 5000: "[SECRET]\n" + "plain - words " * 5000,
+    }
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(cases)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in secrets.mask_secrets(docs).collect()}
+    assert got == {i: (t, len(t)) for i, t in enumerate(cases.values())}
+
+
 def test_stages_keep_the_columns(spark, docs, sf):
     base = docs.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES[:-1]:
