@@ -248,11 +248,6 @@ def test_html():
     assert html.main_text("<p>cut off <em>tex") == "cut off tex" and html.main_text("<nav>only</nav>") == ""
 
 
-def test_html_stretches():
-    assert html.stretches([0, 0, 5, 9, 0, 0, 0, 0, 3], 3) == [(0, 4, 14), (6, 9, 3)]
-    assert html.stretches([], 3) == [] and html.stretches([0, 0], 3) == []
-
-
 def plain_windows(docs, items):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     split = lambda t: word.findall((t or "").translate(A_TO_Z))
