@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 
 from galenus.llm.shared import as_table, small_batches
 
-#: Fit bounds: training rows of each language (the lowest hashes of doc_id), entries of the word and the n-gram tables.
+#: Fit bounds: training rows of each language (the lowest hashes of doc_id), and entries of the word and the n-gram tables,
+#: those in the most rows first. What a table leaves out counts as unseen and is scored by shorter n-grams.
 MAX_ROWS_PER_LANG, MAX_WORDS, MAX_GRAMS = 1500, 60_000, 40_000
-CACHE_WORDS = 200_000
+
+#: Scored words that a task keeps; words beyond so many letters aren't kept. Neither changes a result.
+CACHE_WORDS, KEPT_LETTERS = 200_000, 100
+
 MIN_WORD_ROWS, GRAM_SIZES, SMOOTH = 3, (5, 4, 3, 2, 1), 0.5
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -32,21 +36,23 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class BackoffModel:
-    """Log-probabilities of words and n-grams for each language."""
+    """Log-probabilities of words and n-grams for each language: rows of one table, found by word or by n-gram."""
 
     def __init__(self, langs: list[str], prior: list[float], words: dict[str, list[int]], shorter: dict[str, list[int]]):
         self.langs = langs
         self.prior = np.array(prior)
-        self.words = self._logs(words, lambda w: 0)
-        self.grams = self._logs(shorter, len)
+        self.words = {w: i for i, w in enumerate(words)}
+        self.grams = {g: i for i, g in enumerate(shorter)}
+        self.word_logs = self._logs(words, lambda w: 0)
+        self.gram_logs = self._logs(shorter, len)
         self.forget()
 
     def forget(self) -> None:
         """Empty the cache of scored words, which is bounded by CACHE_WORDS."""
         self._known: dict[str, int] = {}
-        self._scores = np.zeros((1024, len(self.langs)))
+        self._scores = np.zeros((0, len(self.langs)))
 
-    def _logs(self, counts: dict[str, list[int]], group) -> dict[str, np.ndarray]:
+    def _logs(self, counts: dict[str, list[int]], group) -> np.ndarray:
         """Smoothed within each group (n-grams of one size)."""
         total: dict[int, np.ndarray] = {}
         size: Counter = Counter()
@@ -54,39 +60,63 @@ class BackoffModel:
             g = group(k)
             total[g] = total.get(g, 0) + np.array(c, dtype=float)
             size[g] += 1
-        return {k: np.log(np.array(c) + SMOOTH) - np.log(total[group(k)] + SMOOTH * (size[group(k)] + 1)) for k, c in counts.items()}
+        rows = [np.log(np.array(c) + SMOOTH) - np.log(total[group(k)] + SMOOTH * (size[group(k)] + 1)) for k, c in counts.items()]
+        return np.array(rows).reshape(len(rows), len(self.langs))
 
-    def word(self, w: str) -> np.ndarray:
-        """Scores of one word: its own, or the mean over its n-grams of the longest size of which one is known, down to one letter."""
-        got = self.words.get(w)
-        if got is not None:
-            return got
+    def _backoff(self, w: str) -> list[int]:
+        """Rows of the known n-grams of a word, of the longest size of which one is known, down to one letter."""
+        get, padded = self.grams.get, f" {w} "
         for n in GRAM_SIZES:
-            found = [self.grams[g] for g in grams(w, n) if g in self.grams]
+            found = [i for at in range(len(padded) - n + 1) if (i := get(padded[at : at + n])) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
-
-    def _row(self, w: str) -> int:
-        i = self._known[w] = len(self._known)
-        if i == len(self._scores):
-            self._scores = np.vstack([self._scores, np.zeros_like(self._scores)])
-        self._scores[i] = self.word(w)
-        return i
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language, ties to the first by name, and its share of the likelihood."""
-        counts = Counter(WORD.findall((text or "").lower()))
-        if not counts or not self.langs or not any(map(str.isalpha, text)):  # words may be numerals such as a superscript two
-            return UNKNOWN, 0.0
-        if len(self._known) > CACHE_WORDS:
+                return found
+        return []
+
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """Scores of distinct words: a word's own, or the mean over its n-grams."""
+        out = np.zeros((len(words), len(self.langs)))
+        own, at, grams, sizes, unseen = [], [], [], [], []
+        for k, w in enumerate(words):
+            if (i := self.words.get(w)) is not None:
+                own.append(i)
+                at.append(k)
+            elif found := self._backoff(w):
+                grams += found
+                sizes.append(len(found))
+                unseen.append(k)
+        if own:
+            out[at] = self.word_logs[own]
+        if unseen:
+            n = np.array(sizes)
+            out[unseen] = np.add.reduceat(self.gram_logs[grams], np.concatenate(([0], np.cumsum(n)[:-1])), axis=0) / n[:, None]
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """For each text the likeliest language, ties to the first by name, and its share of the likelihood.
+
+        Distinct words of all the texts are scored at once. A word's score is the
+        same whether it was kept from earlier texts or not.
+        """
+        counts = [Counter(WORD.findall((t or "").lower())) if self.langs else Counter() for t in texts]
+        new = dict.fromkeys(w for c in counts for w in c if w not in self._known)
+        if len(self._known) + len(new) > CACHE_WORDS:
             self.forget()
+            new = dict.fromkeys(w for c in counts for w in c)
         known = self._known
-        at = [known[w] if w in known else self._row(w) for w in counts]
-        score = self.prior + np.array(list(counts.values()), dtype=float) @ self._scores[at]
-        odds = np.exp(score - score.max())
-        best = int(score.argmax())
-        return self.langs[best], float(odds[best] / odds.sum())
+        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+        self._scores = np.concatenate([self._scores, self.score_words(list(new))])
+        out = []
+        for t, c in zip(texts, counts, strict=True):
+            if not c or not any(map(str.isalpha, t)):  # words may be numerals such as a superscript two
+                out.append((UNKNOWN, 0.0))
+                continue
+            score = self.prior + np.fromiter(c.values(), float, len(c)) @ self._scores[[known[w] for w in c]]
+            odds = np.exp(score - score.max())
+            best = int(score.argmax())
+            out.append((self.langs[best], float(odds[best] / odds.sum())))
+        if any(len(w) > KEPT_LETTERS for w in new) or len(known) > CACHE_WORDS:
+            self.forget()
+        return out
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +176,7 @@ def identify_languages(docs: DataFrame, model: BackoffModel | None = None) -> Da
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            got = [m.predict(t) for t in b.column(2).to_pylist()]
+            got = m.predict(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     small_batches(spark)

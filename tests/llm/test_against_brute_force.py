@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -230,8 +231,51 @@ def test_language_on_held_out_rows(spark, sf, docs):
 
 def test_unseen_words_back_off_to_shorter_grams():
     model = language.BackoffModel(["a", "b"], [-0.7, -0.7], {"known": [9, 1]}, {"zq": [0, 9], "z": [5, 5], "q": [5, 5]})
-    assert model.predict("² ³") == ("und", 0.0) and model.predict("known")[0] == "a"
-    assert model.word("known").argmax() == 0 and model.word("zqx").argmax() == 1 and not model.word("yyy").any()
+    assert model.predict(["² ³", "known"])[0] == ("und", 0.0) and model.predict(["known"])[0][0] == "a"
+    known, unseen, none = model.score_words(["known", "zqx", "yyy"])
+    assert known.argmax() == 0 and unseen.argmax() == 1 and not none.any()
+
+
+def plain_language(model, text):
+    """Word by word and n-gram by n-gram, in plain sums."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not any(c.isalpha() for w in words for c in w):
+        return "und", 0.0
+    total = list(model.prior)
+    for w in words:
+        if w in model.words:
+            found = [model.word_logs[model.words[w]]]
+        else:
+            for n in (5, 4, 3, 2, 1):
+                pieces = [f" {w} "[i : i + n] for i in range(len(w) + 3 - n)]
+                found = [model.gram_logs[model.grams[p]] for p in pieces if p in model.grams]
+                if found:
+                    break
+        for k in range(len(total)):
+            total[k] += sum(f[k] for f in found) / max(1, len(found))
+    odds = [math.exp(x - max(total)) for x in total]
+    return model.langs[total.index(max(total))], max(odds) / sum(odds)
+
+
+def test_language_against_a_plain_version(spark, docs, texts):
+    model = language.fit_language(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify_languages(docs, model).collect()}
+    for i, t in texts.items():
+        lang, score = plain_language(model, t)
+        assert got[i][0] == lang and abs(got[i][1] - score) < 1e-6
+
+
+def test_language_ties_go_to_the_first_name():
+    model = language.BackoffModel(["a", "b"], [0.0, 0.0], {"w": [3, 3]}, {"x": [1, 1]})
+    assert model.predict(["w x", "w"]) == [("a", 0.5), ("a", 0.5)]
+
+
+def test_language_results_do_not_depend_on_the_cache(monkeypatch):
+    model = language.BackoffModel(["a", "b"], [0.0, 0.1], {"known": [9, 1]}, {"zq": [0, 9], "z": [5, 5], "q": [5, 4], "o": [3, 1]})
+    texts = ["known zq", None, "zoo q known", "z" * 300 + "q", "zq zq oo", ""]
+    want = [model.predict([t])[0] for t in texts]
+    monkeypatch.setattr(language, "CACHE_WORDS", 2)
+    assert model.predict(texts) == want and [model.predict([t])[0] for t in texts] == want
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>
