@@ -120,21 +120,23 @@ class BackoffModel:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per row of (lang, text): its words with their counts, and how often each n-gram occurs in them."""
+    """Of rows (lang, text): each word with its occurrences and rows, and how often each n-gram occurs in the distinct words of a row."""
     for b in batches:
-        langs, keys, ns, rows = [], [], [], []
+        words: dict[str, Counter] = {}
+        rows: dict[str, Counter] = {}
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            words = Counter(WORD.findall((text or "").lower()))
-            short: Counter = Counter()
-            for w in words:
-                for n in GRAM_SIZES:
-                    short.update(grams(w, n))
-            for mark, found in (("w", words), ("g", short)):
-                langs += [lang] * len(found)
-                keys += [mark + k for k in found]
-                ns += found.values()
-                rows += [1] * len(found)
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(keys, pa.string()), pa.array(ns, pa.int64()), pa.array(rows, pa.int64())], names=["lang", "key", "n", "rows"])
+            found = Counter(WORD.findall((text or "").lower()))
+            words.setdefault(lang, Counter()).update(found)
+            rows.setdefault(lang, Counter()).update(found.keys())
+        for lang, found in words.items():
+            short: dict[str, int] = {}
+            for w, n in rows[lang].items():
+                for size in GRAM_SIZES:
+                    for g in grams(w, size):
+                        short[g] = short.get(g, 0) + n
+            keys = [*("w" + w for w in found), *("g" + g for g in short)]
+            n, seen = [*found.values(), *short.values()], [*(rows[lang][w] for w in found), *short.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.string()), pa.array(n, pa.int64()), pa.array(seen, pa.int64())], names=["lang", "key", "n", "rows"])
 
 
 def fit_language(docs: DataFrame) -> BackoffModel:
