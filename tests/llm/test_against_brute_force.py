@@ -127,19 +127,138 @@ def test_personal_spans(text):
 
 def test_personal_data(spark, sf, texts):
     got = {r.doc_id: r for r in queries.queries()["op1_pii"](spark, sf).collect()}
+    found = plain_discovery(texts)
     for i, t in texts.items():
-        written = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in plain_personal(t))
+        base = plain_personal(t)
+        written = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in base)
         assert got[i].base_sha256 == hashlib.sha256(written.encode()).hexdigest()
-        assert got[i].n_found or got[i].spans == written
+        assert got[i].spans == ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in sorted([*base, *found[i]])) and got[i].n_found == len(found[i])
+
+
+def plain_discovery(texts):
+    """Bootstrapping over dictionaries: text id -> spans that promoted instances add."""
+    seen = {i: pii.occurrences(t or "") for i, t in texts.items()}
+    members, judged, form = defaultdict(set), defaultdict(set), {}
+    trusted = {}
+    for rows in seen.values():
+        for p, x, f, k, _, _ in rows:
+            members[p].add(x)
+            form[x] = f
+            if k >= -1:
+                judged[p].add(x)
+            if k >= 0:
+                trusted.setdefault(x, set()).add(k)
+    unknown = {(p, x) for rows in seen.values() for p, x, _, k, _, _ in rows if k == -1}
+    promoted = {}
+
+    def strength():
+        out = {}
+        for p, xs in judged.items():
+            for k in range(4):
+                n = sum(k in trusted.get(x, ()) for x in xs)
+                if n >= pii.MIN_SEEDS:
+                    out[p, k] = n
+        return out
+
+    held = strength()
+    for _ in range(pii.ROUNDS):
+        doubt = defaultdict(lambda: 1.0)
+        for p, x in unknown:
+            for k in range(4):
+                if x not in trusted and (p, k) in held and (c := held[p, k] / max(1, len(members[p]) - 1)) >= pii.MIN_CONFIDENCE:
+                    doubt[x, k] *= max(1 - c, 1e-9)
+        score = {}
+        for (x, k), d in doubt.items():
+            own = [form[y] for y, ks in trusted.items() if k in ks]
+            score.setdefault(x, []).append((-(1 - d) * own.count(form[x]) / len(own), k))
+        fresh = {x: min(s)[1] for x, s in score.items() if -min(s)[0] >= pii.MIN_SCORE}
+        if not fresh:
+            break
+        promoted |= fresh
+        for x, k in fresh.items():
+            trusted[x] = {k}
+        held = strength()
+    sure = {(p, k) for (p, k), n in held.items() if n > pii.MIN_SEEDS and n - 1 >= pii.MIN_CONFIDENCE * (len(members[p]) - 1)}
+    return {i: sorted({(s, promoted[x], e) for p, x, _, k, s, e in rows if k == -1 and x in promoted and (p, promoted[x]) in sure}) for i, rows in seen.items()}
+
+
+def found_in(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return {r.doc_id: (r.n_found, r.spans) for r in pii.find_personal_data(docs).collect()}
 
 
 def test_bootstrapping_discovers_unseen_identifiers(spark):
-    seeds = [(i, f"please write to my address user{i}@example.org today", None) for i in range(12)]
-    hidden = [(100, "please write to my address user77@localhost today", None), (101, "the year was 19-84-7 then", None)]
-    docs = spark.createDataFrame(seeds + hidden, "doc_id long, text string, x string")
-    got = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
-    assert got[100].n_found == 1 and got[100].spans == "email:27:43" and got[100].n_email == 0
-    assert got[101].n_found == 0
+    texts = {i: f"please write to my address user{i}@example.org today" for i in range(12)}
+    texts |= {100: "please write to my address user77@localhost today", 101: "the year was 19-84-7 then"}
+    got = found_in(spark, texts)
+    assert got[100] == (1, "email:27:43") and got[101][0] == 0
+
+
+def test_promoted_instances_induce_the_next_patterns(spark):
+    """An identifier that stands behind seeds' words is found first, and then what stands behind other words of such identifiers."""
+    texts = {i: f"please write to user{i}@example.org now" for i in range(19)}
+    texts |= {20 + i: f"please write to root{i}@box now" for i in range(4)}
+    texts |= {30 + i: f"the owner is root{i}@box so ask" for i in range(4)}
+    texts[40] = "the owner is admin9@box so ask"
+    got = found_in(spark, texts)
+    assert all(got[i][0] == 1 for i in (20, 21, 22, 23, 30, 31, 32, 33)) and got[40] == (1, "email:13:23")
+    without = found_in(spark, {i: t for i, t in texts.items() if not 20 <= i < 30})  # without the middle step
+    assert without[40][0] == 0
+
+
+def test_failing_matches_and_unknown_ones_count_against_a_pattern(spark):
+    texts = {i: f"our release build 10.1.{i}.7 is out" for i in range(3)} | {10 + i: f"our release build 400.{i}.300.{i} is out" for i in range(3)}
+    texts |= {20 + i: f"my server name 10.2.{i}.7 was up" for i in range(6)} | {30: "my server name 10.2.3 was up", 31: "my server name 400.1.300.2 was up", 32: "my server name 400.1.300.3 was up"}
+    got = found_in(spark, texts)
+    assert all(got[i][0] == 0 for i in (10, 11, 12, 30, 31, 32))
+    got = found_in(spark, {i: t for i, t in texts.items() if i < 31})
+    assert got[30] == (1, "ip:15:21") and all(got[i][0] == 0 for i in (10, 11, 12))
+
+
+def planted(rng, n):
+    """Texts of random words with identifiers behind four phrases, half of them in forms that no base pattern takes, and decoys."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    kinds = [
+        ("reach me under", lambda: f"{word()}@{word()}.org", lambda: f"{word()}@{word()}", "email"), ("mail goes to", lambda: f"{word()}@{word()}.com", lambda: f"{word()}@{word()}", "email"),
+        ("call me at", lambda: f"+49{digits(9)}", lambda: f"0{digits(10)}", "phone"), ("logged in from", lambda: f"10.{rng.randint(0, 255)}.{rng.randint(0, 255)}.7", lambda: f"10.{rng.randint(0, 255)}.{rng.randint(0, 255)}", "ip"),
+    ]
+    texts, truth = {}, {}
+    for i in range(n):
+        phrase, base, other, kind = rng.choice(kinds)
+        unseen = rng.random() < 0.15 and kind != "phone"
+        x = other() if unseen else base()
+        if rng.random() < 0.3:  # a decoy of like form behind words that no seeds share
+            phrase, x, unseen = f"{word()} {word()} {word()}", other(), False
+        t = f"{word()} {word()} {phrase} {x} {word()} {word()}"
+        texts[i] = t
+        if unseen:
+            truth[i] = f"{kind}:{t.index(x)}:{t.index(x) + len(x)}"
+    return texts, truth
+
+
+def test_discovery_on_planted_identifiers(spark):
+    texts, truth = planted(random.Random(11), 1500)
+    got = found_in(spark, texts)
+    want = plain_discovery(texts)
+    assert {i: n for i, (n, _) in got.items()} == {i: len(x) for i, x in want.items()}
+    added = {i: ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in x) for i, x in want.items() if x}
+    right = sum(truth.get(i) == s for i, s in added.items())
+    print(f"planted {len(truth)}, found {len(added)}, right {right}")
+    assert len(truth) > 80 and right >= 0.95 * len(added) and right >= 0.6 * len(truth)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([*PII_PIECES, "a" * 300, "mail", "to", ", ", ". ", "12-34-567"]), max_size=14).map("".join))
+def test_contexts_against_one_pattern(text):
+    """The two nearest words on each side, as one search over the whole text finds them."""
+    word, between = r"([^\W\d_]+)", r"[^\w]{1,3}"
+    for at in range(len(text) + 1):
+        left = re.search(rf"{word}{between}{word}{between}$", text[:at])
+        got = pii.contexts(text, at, at)
+        assert [p for p in got if p.endswith(" _")] == ([f"{left[1]} {left[2]} _".lower()] if left else [])
+        right = re.match(rf"{between}{word}{between}{word}", text[at:])
+        assert [p for p in got if p.startswith("_ ")] == ([f"_ {right[1]} {right[2]}".lower()] if right else [])
 
 
 def test_media_round_trip(spark, sf, texts, tmp_path):
@@ -385,8 +504,8 @@ def test_long_runs_take_linear_time():
     import time
 
     began = time.time()
-    for text in ("a" * 300_000 + "@", "1" * 300_000, "x9" * 150_000, "a@" * 100_000, "1." * 100_000):
-        spans = pii.base_spans(text)
-        pii.occurrences(text, spans)
+    for text in ("a" * 300_000 + "@", ("a" * 3_000 + " 12-34-567 ") * 100, "1 " * 100_000, "12.34.56 " * 30_000, "1" * 300_000, "x9" * 150_000, "a@" * 100_000, "1." * 100_000):
+        pii.base_spans(text)
+        pii.occurrences(text)
     assert time.time() - began < 20
     assert pii.base_spans("a@b.c@d.e") == plain_personal("a@b.c@d.e")
