@@ -65,34 +65,6 @@ def test_licenses(docs, none):
     assert licenses.license_scan(none).count() == 0
 
 
-def test_license_size_bounds():
-    for n in range(1, 200):
-        reach = [a for a in range(1, 3 * n + 3) if 10 * min(a, n) >= 4 * (a + n)]  # Dice at least 0.8, in integers
-        assert licenses.size_bounds(n, licenses.THRESHOLD) == (reach[0], reach[-1])
-
-
-def test_licenses_at_the_threshold(spark):
-    """Each beginning of each template, and the template with more and more words behind it, against unpruned scores."""
-    texts, want = [], []
-    for _, template in licenses.TEMPLATES:
-        words = template.lower().split()
-        lines = [" ".join(words[:k]) for k in range(1, len(words) + 1)] + [" ".join(words + [f"extra{i}" for i in range(k)]) for k in range(1, len(words) + 1)]
-        for line in lines:
-            scores = {}
-            for other, t in licenses.TEMPLATES:
-                a, b = set(licenses.template_bigrams(line)), set(licenses.template_bigrams(t))
-                scores[other] = round(2 * len(a & b) / (len(a) + len(b)), 6)
-            best = max(scores.values())
-            want.append((best, min(k for k, v in scores.items() if v == best)) if best >= licenses.THRESHOLD else (None, None))
-            texts.append(line)
-    assert sum(w[0] == licenses.THRESHOLD for w in want) > 5
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: (r.best_score, r.license) for r in licenses.license_scan(docs).collect()}
-    assert got == dict(enumerate(want))
-    lost = spark.createDataFrame([(1, "This work is licensed under CC BY-NC 4.0."), (2, "Licensed under the BSD 3-Clause License.")], "doc_id long, text string")
-    assert {r.doc_id: r.licenses for r in licenses.license_scan(lost).collect()} == {1: "CC-BY-NC-4.0", 2: "BSD-3-Clause"}
-
-
 def test_simhash(docs, none):
     got = simhash.near_duplicates(docs).collect()
     assert len(got) == len(TEXTS)
