@@ -63,25 +63,51 @@ def test_facts_and_skeleton():
 
 
 def test_examples():
-    gate = lambda doc: [rules.Finding("s1", "c", "m")]
+    checker = examples.Checker(frozenset({"trials"}), lambda doc, region: [rules.Finding("s1", "c", "m")], {"eu": ("16.2 Signal evaluation",)})
     ok = examples.parse_reply("grounded", {"passage": "x  said 12 things", "passage_ref": "r1"}, '{"question": "q", "answer": "\\"said 12\\" [r1]"}')
-    assert examples.run_checks(ok, frozenset(), gate) == [] and ok.to_chat()[0]["content"].startswith("Passage [r1]:")
+    assert checker.run(ok) == [] and ok.to_chat()[0]["content"].startswith("Passage [r1]:")
+    curly = examples.Example("grounded", {**ok.fields, "answer": "“x said” and “12 things” [r1]"})
+    assert checker.run(curly) == []
     bad = examples.Example("grounded", {**ok.fields, "answer": '"never" in 2019'})
-    assert [r for r, _ in examples.run_checks(bad, frozenset(), gate)] == ["citation", "citation", "exact_values"]
-    draft = examples.Example("tool_draft", {"task": "t", "answer": "a", "tool_calls": [{"name": "x"}], "tool_results": []})
-    assert {r for r, _ in examples.run_checks(draft, frozenset({"trials"}), gate)} == {"format"}
+    assert [r for r, _ in checker.run(bad)] == ["citation", "citation", "exact_values"]
+    assert checker.run(examples.Example("grounded", {**ok.fields, "answer": "no quote [r1]"})) == [("citation", "answer has no quoted span")]
+    draft = examples.Example("tool_draft", {"task": "t", "answer": "a", "tool_calls": [{"name": "x"}, {"name": "trials", "arguments": []}], "tool_results": []})
+    assert [w for _, w in checker.run(draft)] == ["2 tool calls but 0 results", "unknown tool 'x'", "the arguments of trials are no object"]
     check = examples.Example("rule_check", {"document": {"h": "b"}, "findings": []})
-    assert examples.run_checks(check, frozenset(), gate) == [("structure", "missed ('s1', 'c')")]
-    assert examples.run_checks(examples.Example("abstain", {"question": "q", "reason": "tired"}), frozenset(), gate)[0][0] == "format"
+    assert checker.run(check) == [("structure", "missed ('s1', 'c')")]
+    told = [{"rule_id": "s1", "clause": "c", "message": "m"}, {"rule_id": "s2", "clause": "c", "message": "m"}]
+    assert checker.run(examples.Example("rule_check", {"document": {"h": "b"}, "findings": told})) == [("structure", "not raised ('s2', 'c')")]
+    assert checker.run(examples.Example("rule_check", {"document": {"h": 1}, "findings": [{"rule_id": ""}], "region": "x"}))[0] == ("format", "unknown region 'x'")
+    assert checker.run(examples.Example("abstain", {"question": "q", "reason": "tired"}))[0][0] == "format"
     for raw in ('{"question": "a", "question": "b"}', "[]", '{"question": ""}'):
         with pytest.raises(ValueError):
             examples.parse_reply("grounded", {"passage": "p", "passage_ref": "r"}, raw)
-    known = {"Aspirin"}.__contains__
-    assert examples.route_claim("Was Aspirin recalled? A recall is known", known) == ("lookup", "safety_actions")
-    assert examples.route_claim("Aspirin helps", known) == ("model", None) and examples.route_claim("A trial of nothing", known) == ("model", None)
     assert {t["function"]["name"] for t in examples.tool_schemas()} >= {"trials", "lookup_code"}
 
 
+def test_report_drafts():
+    silent = examples.Checker(frozenset(), lambda doc, region: [], {"eu": ("16 Signal evaluation",)})
+    strict = examples.Checker(frozenset(), lambda doc, region: [rules.Finding("s1", region, "must say so")] if "1" not in doc else [])
+    report = lambda answer, **f: examples.Example("tool_draft", {"task": "t", "answer": answer, "report_region": "eu", **f})
+    assert silent.run(report('{"Signals": "see section 16"}')) == [] and silent.run(report('{"Signals": "see 17"}')) == [("exact_values", "17")]
+    assert silent.run(report('{"99": "none"}')) == []  # headings state nothing
+    assert silent.run(report('{"1": "in 2019"}')) == [("exact_values", "2019")]
+    for answer in ("text", '{"1": "a", "1": "b"}', '{"1": 2}', "{}"):
+        assert silent.run(report(answer)) == [("format", "the draft is no object of heading to body")]
+    assert strict.run(report('{"2": "x"}')) == [("structure", "s1 (eu): must say so")]
+    assert silent.run(report('{"1": "x"}', report_region="mars")) == [("format", "unknown region 'mars'")]
+
+
+def test_claims_are_routed(spark):
+    texts = ["Was Aspirin recalled? A recall is known", "Aspirin helps", "A trial of nothing", "NCT01234567 is in phase 2", "the label and recalls of ASPIRIN", None, "", "reports about Label"]
+    claims = spark.createDataFrame(list(enumerate(texts)), "claim_id int, claim string")
+    names = spark.createDataFrame([("Aspirin",), ("aspirin",), ("NCT01234567",), ("label",), (None,)], "name string")
+    got = {r.claim_id: (r.route, r.function) for r in examples.route_claims(claims, names).collect()}
+    assert got == {0: ("lookup", "safety_actions"), 1: ("model", None), 2: ("model", None), 3: ("lookup", "trials"), 4: ("lookup", "safety_actions"), 5: ("model", None), 6: ("model", None), 7: ("model", None)}
+    cut = examples.route_claims(spark.createDataFrame([(1, "recall of alpha beta gamma Aspirin")], "claim_id int, claim string"), names, most=3)
+    assert cut.head().route == "model"
+
+
 def test_ledger(spark):
     rows, done = spark.createDataFrame([("a",), ("b",)], "id string"), spark.createDataFrame([("b",), ("b",)], "id string")
     assert [r.id for r in examples.pending(rows, done, "id").collect()] == ["a"]
