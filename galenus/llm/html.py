@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galenus.llm.shared import small_batches
+from galenus.llm.shared import bounded_batches
 
 #: Lines of a sliding window, and the characters up to which a line adds to it: a long paragraph is no denser than a full line.
 WINDOW, FULL_LINE = 3, 80
@@ -341,5 +341,5 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     main text, gives an empty text; repeated rows each get their result; other
     columns are not read.
     """
-    small_batches(pages.sparkSession)
+    bounded_batches(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galenus.llm.shared import as_table, small_batches
+from galenus.llm.shared import as_table, bounded_batches
 
 #: Fit bounds: training rows of each language (the lowest hashes of doc_id), and entries of the word and the n-gram tables,
 #: those in the most rows first. What a table leaves out counts as unseen and is scored by shorter n-grams.
@@ -142,7 +142,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_language(docs: DataFrame) -> BackoffModel:
     """Learn from text and lang of a bounded sample of ``docs`` (doc_id, text, lang) outside the held-out rows."""
     spark = docs.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     usable = docs.filter("lang is not null and text is not null").filter(~held_out(F.col("doc_id")))
     sizes = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
@@ -181,6 +181,6 @@ def identify_languages(docs: DataFrame, model: BackoffModel | None = None) -> Da
             got = m.predict(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    small_batches(spark)
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id").cast("long")).alias("held_out"), F.col("text").cast("string"))
     return rows.mapInArrow(label, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from galenus.llm.shared import shared_dir, small_batches
+from galenus.llm.shared import bounded_batches, shared_dir
 
 #: Bytes of a row of samples; payloads are padded to a positive multiple.
 UNIT = 64
@@ -249,7 +249,7 @@ def write_media(docs: DataFrame, path: str) -> None:
     """Store every row's whole text as an image member of archives below ``path``."""
     spark = docs.sparkSession
     spark.dataSource.register(MediaArchives)
-    small_batches(spark)
+    bounded_batches(spark)
     docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).write.format("media_archives").mode("append").option("path", path).save()
 
 
@@ -279,6 +279,6 @@ def media_features(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     path = shared_dir(spark, "media")
     write_media(docs, path)
-    small_batches(spark)
+    bounded_batches(spark)
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     return read_media(spark, path).select("doc_id", "n_bytes", "content").mapInArrow(_features, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from galenus.llm.shared import small_batches
+from galenus.llm.shared import bounded_batches
 
 #: Context sizes, longest first. A sequence that fills one of them exactly has no padding.
 TIERS = (2048, 1024, 512, 256)
@@ -161,5 +161,5 @@ def pack(docs: DataFrame) -> DataFrame:
     text is its END_ID; a null doc_id stays null; repeated rows are packed each;
     no rows, no pieces.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(_pack_task, SCHEMA)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from galenus.llm.shared import as_table, maybe_broadcast, small_batches
+from galenus.llm.shared import as_table, bounded_batches, maybe_broadcast
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -172,7 +172,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan(docs: DataFrame) -> DataFrame:
     """Seeds and pattern occurrences of every row's whole text, written as a table; ``row`` names its row."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan, _SCAN)
     return as_table(rows, "pii_scan")
 

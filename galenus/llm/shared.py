@@ -11,21 +11,20 @@ from pyspark.sql import functions as F
 #: Largest serialised size, in bytes, of a relation that may be broadcast.
 BROADCAST_BYTES = 4 << 20
 
-#: Rows of one Arrow batch; with texts of some 100 kB a batch stays near 50 MB.
-BATCH_ROWS = 500
-
-#: The same for rows of a few numbers.
-NARROW_BATCH_ROWS = 20_000
+#: Bytes of one Arrow batch, about. A single text can be larger and then is a batch of its own.
+BATCH_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which all executors share.
 
-    Only where that setting is missing (local tests) a temporary folder of this
-    machine takes its place.
+    Only where that setting is missing and Spark runs on this machine alone, a
+    temporary folder takes its place; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="galenus-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -38,9 +37,11 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches of what runs next, since one text can be very long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by bytes. All operators ask for the same bound, and one that is set stays, so
+    plans that run later are bounded alike."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from galenus.llm.components import connected_components
 from galenus.llm.golay import ball_masks, fingerprint_keys
-from galenus.llm.shared import NARROW_BATCH_ROWS, as_table, maybe_broadcast, partitions, small_batches
+from galenus.llm.shared import as_table, bounded_batches, maybe_broadcast, partitions
 
 SHINGLE_WORDS, SEED, MAX_BITS = 4, 42, 4
 
@@ -50,7 +50,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp): the 64-bit fingerprint of every row's whole text as a signed long."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
@@ -163,7 +163,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     2 that hold them, and meet exactly where they are within 4 bits, as a chain.
     """
     n = partitions(fps.sparkSession)
-    small_batches(fps.sparkSession, NARROW_BATCH_ROWS)
+    bounded_batches(fps.sparkSession)
     keyed = fps.select("fp").mapInArrow(_golay_keys, "key long, fp long").repartition(n, "key").sortWithinPartitions("key", "fp")
     found = as_table(keyed.mapInArrow(_verify, "u long, v long").distinct(), "links")
     dense = found.filter("u = v").select(F.col("u").alias("fp")).repartition(n, "fp")

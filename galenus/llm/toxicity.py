@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galenus.llm.shared import as_table, maybe_broadcast, small_batches
+from galenus.llm.shared import as_table, bounded_batches, maybe_broadcast
 
 #: Fit bounds: labelled rows of each class (the lowest hashes of doc_id), and features.
 MAX_ROWS_PER_CLASS, MAX_FEATURES = 3000, 600
@@ -137,7 +137,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     rows with at least STRONG occurrences of the selected toxic features are of
     grade 2. No labels, or none toxic, give a model that rejects nothing.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     rows = as_table(_labelled(docs, labels).mapInArrow(_featurised, "toxic int, f map<string,int>"), "toxicity_rows")
     size = rows.groupBy().agg(F.count_if(F.col("toxic") > 0).alias("t"), F.count_if(F.col("toxic") <= 0).alias("c")).head()
     if not size.t or not size.c:
@@ -187,7 +187,7 @@ def severity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
             ]
             yield pa.RecordBatch.from_arrays(out, names=["doc_id", "grade", "severity", "toxic"])
 
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, "doc_id long, grade int, severity double, toxic boolean")
 
 
