@@ -7,6 +7,7 @@ import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -25,8 +26,11 @@ TIERS = (2048, 1024, 512, 256)
 #: The id after each document.
 END_ID = 1
 
-#: Waiting pieces of a task beyond this number of tokens are packed; bounds the task's memory.
-POOL_TOKENS = 4_000_000
+#: Waiting pieces of a task beyond this number of tokens or of pieces are packed; bounds the task's memory.
+POOL_TOKENS, POOL_PIECES = 4_000_000, 100_000
+
+#: Pieces of one batch that a task returns.
+BATCH_PIECES = 20_000
 
 #: Tokens of one step group; sequences of a group have one length, so that every group is equal work.
 STEP_TOKENS = 16_384
@@ -60,8 +64,8 @@ class Packer:
     tiers fills windows of its own tier the same way.
     """
 
-    def __init__(self, tiers: tuple[int, ...] = TIERS, pool_tokens: int = POOL_TOKENS):
-        self.tiers, self.pool_tokens = tiers, pool_tokens
+    def __init__(self, tiers: tuple[int, ...] = TIERS, pool_tokens: int = POOL_TOKENS, pool_pieces: int = POOL_PIECES):
+        self.tiers, self.pool_tokens, self.pool_pieces = tiers, pool_tokens, pool_pieces
         self.rests: list[tuple[int, int]] = []  # (length, number), ascending
         self.pieces: dict[int, tuple] = {}
         self.number = self.sequence = self.waiting = 0
@@ -90,12 +94,12 @@ class Packer:
             yield from self._close([(doc, at, ids[at : at + top], n)], top)
         if n % top:
             self._piece(doc, n - n % top, ids[n - n % top :], n)
-        if self.waiting > self.pool_tokens:
-            yield from self._pack(self.waiting // 2)
+        if self.waiting > self.pool_tokens or len(self.rests) > self.pool_pieces:
+            yield from self._pack(self.pool_tokens // 2, self.pool_pieces // 2)
 
-    def _pack(self, keep: int) -> Iterator[tuple]:
-        """Close full windows, longest rest first, until at most ``keep`` tokens wait or none can be filled."""
-        while self.rests and self.waiting > keep:
+    def _pack(self, tokens: int, pieces: int) -> Iterator[tuple]:
+        """Close full windows, longest rest first, until at most so many tokens and pieces wait or none can be filled."""
+        while self.rests and (self.waiting > tokens or len(self.rests) > pieces):
             longest = self.rests[-1][0]
             tier = next(t for t in reversed(self.tiers) if t >= longest)
             if self.waiting < tier:
@@ -119,7 +123,7 @@ class Packer:
 
     def finish(self) -> Iterator[tuple]:
         """All that waits; only the last sequence, shorter than the shortest tier, is padded."""
-        yield from self._pack(0)
+        yield from self._pack(0, 0)
         if self.rests:
             yield from self._close([self._take(len(self.rests) - 1) for _ in range(len(self.rests))], self.tiers[0])
 
@@ -130,24 +134,28 @@ def _pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     packer, seen, group_of, groups = Packer(), {}, {}, 0
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
-    def rows(closed: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int32() if n == "tier" else pa.int64() for n in names]
+
+    def row(closed: tuple) -> tuple:
+        """What is returned of a piece: its ids are let go at once."""
         nonlocal groups
-        out = []
-        for (doc, start, ids, total), sequence, offset, tier in closed:
-            if sequence not in seen.get(tier, ()):  # a new sequence of this tier
-                count, group = group_of.get(tier, (0, None))
-                if group is None or count * tier >= STEP_TOKENS:
-                    count, group, groups = 0, groups, groups + 1
-                group_of[tier], seen[tier] = (count + 1, group), (sequence,)
-            out.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), total, base + sequence, offset, tier, base + group_of[tier][1]))
-        if out:
-            kinds = [pa.int32() if n == "tier" else pa.int64() for n in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-
-    for b in batches:
-        for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            yield from rows(packer.add(doc, encode(text)))
-    yield from rows(packer.finish())
+        (doc, start, ids, total), sequence, offset, tier = closed
+        if sequence not in seen.get(tier, ()):  # a new sequence of this tier
+            count, group = group_of.get(tier, (0, None))
+            if group is None or count * tier >= STEP_TOKENS:
+                count, group, groups = 0, groups, groups + 1
+            group_of[tier], seen[tier] = (count + 1, group), (sequence,)
+        return doc, start, len(ids), zlib.crc32(ids.tobytes()), total, base + sequence, offset, tier, base + group_of[tier][1]
+
+    def closed() -> Iterator[tuple]:
+        for b in batches:
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                yield from packer.add(doc, encode(text))
+        yield from packer.finish()
+
+    out = map(row, closed())
+    while cut := list(islice(out, BATCH_PIECES)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*cut, strict=True), kinds, strict=True)], names=names)
 
 
 def pack(docs: DataFrame) -> DataFrame:

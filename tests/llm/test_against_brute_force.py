@@ -15,6 +15,7 @@ import pytest
 pytest.importorskip("galenus.llm")
 
 import numpy as np  # noqa: E402
+import pyarrow as pa  # noqa: E402
 import xxhash  # noqa: E402
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
@@ -314,6 +315,30 @@ def test_packing(spark, sf, texts):
     assert padding < 0.05 * total + 2048
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=("Cs",)), max_size=60), st.sampled_from(["", " ", "\n\n", "a  b", "<|endoftext|>", "123456", "\u200d\U0001f469", "e\u0301", "'ll", "\x00\x85\u2028", "\u3000中文"]))
+def test_ids_are_those_of_the_named_tokenizer(text, more):
+    slow = packing._encoders("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")[0]
+    for t in (text + more + text, more + text):
+        assert packing.encode(t).tolist() == [*slow.encode(t, add_special_tokens=False).ids, 1]
+
+
+def test_many_tiny_texts_are_packed_in_bounded_memory():
+    import tracemalloc
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(50_000)), "text": [""] * 50_000})
+    tracemalloc.start()
+    pieces, most, ends = 0, 0, defaultdict(int)
+    for out in packing._pack_task(iter([batch] * 8)):
+        pieces, most = pieces + out.num_rows, max(most, out.num_rows)
+        for sequence, offset in zip(out.column(5).to_pylist(), out.column(6).to_pylist(), strict=True):
+            ends[sequence] = max(ends[sequence], offset + 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces == 400_000 and most <= packing.BATCH_PIECES and peak < 200 << 20
+    assert sum(n.bit_count() > 1 for n in ends.values()) <= 1
+
+
 def test_special_strings_are_encoded_as_the_tokenizer_does():
     slow = packing._encoders("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")[0]
     t = "a <|endoftext|> b"
