@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,13 @@ from galenus.llm.shared import as_table, bounded_batches, maybe_broadcast, parti
 
 SHINGLE_WORDS, SEED, MAX_BITS = 4, 42, 4
 
-#: A key that more distinct fingerprints share is resolved by exact ball keys instead of comparisons.
-DENSE_KEY = 128
+#: A key that more distinct fingerprints share is resolved by exact ball keys instead of comparisons. So many comparisons take
+#: less than the 2,081 ball keys a member. A key holds 2e-8 of n evenly spread fingerprints (116 keys each, 85 of them of three
+#: kinds with 2^30 values), so this is reached on average only beyond 4e10 distinct fingerprints.
+DENSE_KEY = 1024
+
+#: Bytes of a key row, and of them in one shuffle partition.
+KEY_BYTES, PARTITION_BYTES, KEYS_EACH = 16, 64 << 20, 117
 
 #: Sorted rows that a verifying task holds at a time, besides one key's.
 HELD_ROWS = 1 << 17
@@ -110,9 +116,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_row = np.repeat(run, run)
         loops = fps[of_row > DENSE_KEY]
         keep = (of_row > 1) & (of_row <= DENSE_KEY)
-        k, f = keys[keep], fps[keep]
+        k, f, n = keys[keep], fps[keep], of_row[keep]
         us, vs = [k[:0]], [k[:0]]
         for d in range(1, DENSE_KEY):
+            if d & (d - 1) == 0:  # short runs are done
+                left = n > d
+                k, f, n = k[left], f[left], n[left]
             same = k[d:] == k[:-d] if len(k) > d else np.zeros(0, dtype=bool)
             if not same.any():
                 break
@@ -162,7 +171,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     members yields no pairs: its members get the centres of all balls of radius
     2 that hold them, and meet exactly where they are within 4 bits, as a chain.
     """
-    n = partitions(fps.sparkSession)
+    n = max(partitions(fps.sparkSession), math.ceil(fps.count() * KEYS_EACH * KEY_BYTES / PARTITION_BYTES))
     bounded_batches(fps.sparkSession)
     keyed = fps.select("fp").mapInArrow(_golay_keys, "key long, fp long").repartition(n, "key").sortWithinPartitions("key", "fp")
     found = as_table(keyed.mapInArrow(_verify, "u long, v long").distinct(), "links")
