@@ -163,6 +163,16 @@ class _Forward(io.RawIOBase):
         return len(data)
 
 
+def _in_block(block: bytes, start: int, info: zipfile.ZipInfo) -> bytes | None:
+    """A member's stored bytes out of a block that begins at ``start``; None if they aren't whole there or fail their check sum."""
+    at = info.header_offset - start
+    if len(block) < at + 30:
+        return None
+    name, extra = struct.unpack_from("<HH", block, at + 26)
+    data = block[at + 30 + name + extra : at + 30 + name + extra + info.compress_size]
+    return data if len(data) == info.compress_size and zlib.crc32(data) == info.CRC else None
+
+
 class ArchiveReader(DataSourceReader):
     """Plans byte ranges of the listed archives. A task reads its archive's directory (at the end of the file) and takes
     the members that start in its range, so the driver never holds members' names."""
@@ -176,6 +186,14 @@ class ArchiveReader(DataSourceReader):
             listed = json.loads(f.read())
         return [ByteRange(f"{root}/{a['name']}", a["size"], at, at + self.range_bytes) for a in listed for at in range(0, a["size"], self.range_bytes)] or [ByteRange("", 0, 0, 0)]
 
+    def _block(self, f, start: int, end: int) -> bytes:
+        """All members of a range in one request; nothing if it fails, as members are then read one by one."""
+        try:
+            f.seek(start)
+            return f.read(end - start)
+        except OSError:
+            return b""
+
     def _member(self, path: str, info: zipfile.ZipInfo) -> bytes:
         """The stored bytes of one member, by its offset; each try opens the file anew and checks the member alone."""
         store, _ = _open(self.path)
@@ -200,13 +218,18 @@ class ArchiveReader(DataSourceReader):
             return
         store, _ = _open(self.path)
         with store.open_input_file(partition.path) as f, zipfile.ZipFile(f) as archive:
-            infos = [i for i in archive.infolist() if partition.start <= i.header_offset < partition.end]
+            every = sorted(archive.infolist(), key=lambda i: i.header_offset)
+            ends = [*(i.header_offset for i in every[1:]), archive.start_dir]
+            taken = [(i, end) for i, end in zip(every, ends, strict=True) if partition.start <= i.header_offset < partition.end]
+            block = self._block(f, taken[0][0].header_offset, taken[-1][1]) if taken else b""
         rows: list[tuple] = []
         held = 0
-        for info in infos:
+        for info, _ in taken:
             about = json.loads(info.comment)
             try:
-                data, error = self._member(partition.path, info), None
+                data, error = _in_block(block, taken[0][0].header_offset, info), None
+                if data is None:
+                    data = self._member(partition.path, info)
             except OSError as e:
                 if self.on_error != "null":
                     raise
