@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from galenus.llm.shared import as_table, bounded_batches, maybe_broadcast
 
-#: Fit bounds: labelled rows of each class (the lowest hashes of doc_id), and features.
+#: Fit bounds: labelled rows of each class (the lowest hashes of doc_id), and features (those that separate the classes best).
 MAX_ROWS_PER_CLASS, MAX_FEATURES = 3000, 600
 
 #: A feature enters the model if it separates the classes at this two-sample z and occurs in so many labelled rows.
 MIN_Z, MIN_ROWS = 5.0, 5
 
-#: A labelled toxic text with so many occurrences of selected toxic features is of grade 2, else of grade 1.
-STRONG = 3
+#: Parts of the labelled rows: the evidence of a row comes from a model that the other parts fit.
+FOLDS = 2
 
 PREFIXES = (5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
@@ -114,13 +114,39 @@ def fit_ordinal(x: np.ndarray, grades: np.ndarray, features: list[str], l1: floa
     return OrdinalModel(features, w, cuts)
 
 
+def cross_fitted_grades(x: np.ndarray, toxic: np.ndarray, features: list[str]) -> np.ndarray:
+    """Grades 0 to 2 of binary labels: a toxic row is of grade 2 if its evidence is above the median of the toxic rows.
+
+    A row's evidence is its score by a binary model that the other folds' rows
+    fit, less that model's cut; rows are dealt to folds in turn. So no row is
+    graded by what was learnt from it. Ties at the median are grade 1. Where a
+    fold has one class only, all toxic rows are grade 1.
+    """
+    grades = toxic.astype(int)
+    fold = np.zeros(len(toxic), dtype=int)
+    for c in (0, 1):
+        own = np.flatnonzero(grades == c)
+        fold[own] = np.arange(len(own)) % FOLDS
+    evidence = np.zeros(len(toxic))
+    for k in range(FOLDS):
+        rest, own = fold != k, fold == k
+        if len(set(grades[rest].tolist())) < 2 or not (own & (grades == 1)).any():
+            return grades
+        model = fit_ordinal(x[rest], grades[rest], features)
+        evidence[own] = x[own] @ model.weights - model.cuts[0]
+    middle = np.median(evidence[grades == 1])
+    grades[(grades == 1) & (evidence > middle)] = 2
+    return grades
+
+
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(toxic, features map) of the bounded training rows: per class those of the lowest doc_id hash, equal texts once."""
+    """(toxic, text) of the bounded training rows: per class the labels of the lowest doc_id hash, of each the least text; equal texts once."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [known.filter(c).orderBy(*order).limit(MAX_ROWS_PER_CLASS) for c in ("toxic > 0", "toxic <= 0")]
     picked = as_table(picked[0].unionByName(picked[1]), "toxicity_sample")
     rows = docs.select("doc_id", "text").filter("text is not null").join(maybe_broadcast(picked, 32), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))  # repeated doc_ids are one row
     return rows.groupBy(F.sha2("text", 256).alias("sha")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text")
 
 
@@ -133,9 +159,8 @@ def _featurised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_severity(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     """Fit on a bounded sample of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) covers.
 
-    The labels are binary, so grades above 1 come from the texts: labelled toxic
-    rows with at least STRONG occurrences of the selected toxic features are of
-    grade 2. No labels, or none toxic, give a model that rejects nothing.
+    The labels are binary; ``cross_fitted_grades`` parts the toxic rows in two
+    grades. No labels, or none toxic, give a model that rejects nothing.
     """
     bounded_batches(docs.sparkSession)
     rows = as_table(_labelled(docs, labels).mapInArrow(_featurised, "toxic int, f map<string,int>"), "toxicity_rows")
@@ -147,7 +172,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     z = (p - q) / F.sqrt(F.greatest(all_ * (1 - all_), F.lit(1e-9)) * (1 / size.t + 1 / size.c))
     chosen = seen.filter(F.col("a") + F.col("b") >= MIN_ROWS).select("feature", z.alias("z")).filter(F.abs("z") >= MIN_Z)
     chosen = chosen.orderBy(F.abs("z").desc(), "feature").limit(MAX_FEATURES).collect()
-    features, toxic_side = [r.feature for r in chosen], np.array([r.z > 0 for r in chosen], dtype=bool)
+    features = [r.feature for r in chosen]
     if not features:
         return fit_ordinal(np.zeros((0, 0)), np.zeros(0, dtype=int), [])
     wanted = F.map_filter("f", lambda k, _: k.isin(features))
@@ -157,12 +182,9 @@ def fit_severity(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
     for i, r in enumerate(got):
         for f, n in r.f.items():
             counts[i, at[f]] = n
-    toxic = np.array([int(r.toxic > 0) for r in got])
-    whole = np.array([not f.endswith("~") for f in features]) & toxic_side
-    grades = toxic + toxic * (counts[:, whole].sum(axis=1) >= STRONG)
-    if grades.max() == 2 and not (grades == 1).any():
-        grades = toxic
-    return fit_ordinal(np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0), grades, features)
+    x = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0)
+    grades = cross_fitted_grades(x, np.array([int(r.toxic > 0) for r in got]), features)
+    return fit_ordinal(x, grades, features)
 
 
 def severity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -355,13 +355,61 @@ def test_ordinal_model_orders_grades():
     assert (told == grades).mean() > 0.9
 
 
-def test_toxicity_on_held_out_rows(spark):
+def test_grades_of_binary_labels_are_cross_fitted():
+    rng = np.random.default_rng(3)
+    toxic = np.array([0] * 300 + [1] * 300)
+    strength = np.where(toxic == 1, rng.integers(1, 6, 600), 0)
+    x = np.stack([strength + rng.integers(0, 2, 600), rng.integers(0, 4, 600)], axis=1).astype(float)
+    grades = toxicity.cross_fitted_grades(x, toxic, ["bad", "noise"])
+    assert ((grades > 0) == (toxic == 1)).all() and set(grades.tolist()) == {0, 1, 2}
+    assert strength[grades == 2].mean() > strength[grades == 1].mean() + 1
+    assert toxicity.cross_fitted_grades(x[:1], toxic[:1], ["bad", "noise"]).tolist() == [0]
+    assert toxicity.cross_fitted_grades(x[299:301], toxic[299:301], ["bad", "noise"]).tolist() == [0, 1]
+    same = toxicity.cross_fitted_grades(np.concatenate([np.zeros((4, 1)), np.ones((4, 1))]), np.array([0] * 4 + [1] * 4), ["bad"])
+    assert same.tolist() == [0] * 4 + [1] * 4  # ties at the median
+
+
+def plain_severity(model, text):
+    """Expected grade and grade, feature by feature."""
+    counts = defaultdict(int)
+    for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        for f in [w, *(w[:k] + "~" for k in (5, 6, 7) if len(w) >= k)]:
+            counts[f] += 1
+    score = sum(wt * (1 + math.log(counts[f])) for f, wt in zip(model.features, model.weights, strict=True) if counts[f])
+    over = [1 / (1 + math.exp(-max(-40, min(40, score - cut)))) for cut in model.cuts]
+    return sum(over), sum(p >= 0.5 for p in over)
+
+
+def test_severity_against_a_plain_version(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit_severity(docs, labels)
+    assert len(model.cuts) == 2 and model.cuts[0] < model.cuts[1]
+    got = {r.doc_id: r for r in toxicity.severity(docs, labels).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        expected, grade = plain_severity(model, r.text)
+        assert abs(got[r.doc_id].severity - expected) < 1e-5 and (got[r.doc_id].grade == grade or min(abs(p - 0.5) for p in model.exceed(r.text)) < 1e-9)
+
+
+def test_severity_grows_with_the_evidence(spark):
+    plain = [f"the cat {i} sat on mat number {i % 7} and slept" for i in range(60)]
+    bad = [plain[i] + " awful" * (1 + i % 4) + " wretch" * (i % 3) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(plain + bad)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 60)) for i in range(120)], "doc_id long, toxic int")
+    probe = spark.createDataFrame([(1000 + n, "the cat sat" + " awful" * n) for n in range(6)], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.severity(docs.unionByName(probe), labels).collect()}
+    rising = [got[1000 + n].severity for n in range(6)]
+    assert rising == sorted(rising) and rising[5] > rising[1] > rising[0] and not got[1000].toxic and got[1005].grade == 2
+    assert got[1003].severity == [r for r in toxicity.severity(docs.unionByName(probe).repartition(3), labels).collect() if r.doc_id == 1003][0].severity
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     got = {r.doc_id: r.toxic for r in toxicity.severity(docs, labels.filter("doc_id % 2 = 0")).collect()}
     held = [(r.toxic, got[r.doc_id]) for r in labels.filter("doc_id % 2 = 1").collect()]
     clean, bad = [g for t, g in held if not t], [g for t, g in held if t]
-    assert sum(clean) <= 0.05 * len(clean) and sum(bad) >= 0.6 * len(bad)
+    assert sum(clean) <= 0.01 * len(clean) and sum(bad) >= 0.9 * len(bad)
 
 
 def test_language_on_held_out_rows(spark, sf, docs):
