@@ -16,9 +16,6 @@ GRAM = 6
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: The same words before A-Z are lower-cased, to count them without making strings.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
@@ -90,10 +87,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for n in short:
         own = F.array_union(own, _grams(F.col("hs"), n))
     marks = keyed.withColumn("grams", _grams(F.col("hs"), GRAM)).withColumn("marks", own)
-    # explode_outer: a plain explode adds a filter that is pushed below, where it would nest the lambdas and split the text again for each word
-    marks = marks.select("doc_id", "key", F.explode_outer("marks").alias("print"))
-    found = marks.join(maybe_broadcast(prints, 24), "print", "left_semi").select("doc_id", "key").distinct()
-    found = as_table(found, "candidates")
+    # posexplode_outer keeps a row of every document, whose first mark carries its number of words: the text is split once
+    marks = marks.select("doc_id", "key", F.size("hs").cast("long").alias("n_words"), F.posexplode_outer("marks").alias("at", "print"))
+    known = maybe_broadcast(prints.withColumn("known", F.lit(True)), 24)
+    marked = marks.join(known, "print", "left")
+    first = F.coalesce("at", F.lit(0)) == 0
+    marked = marked.filter(F.col("known") | first)
+    marked = as_table(marked.select("doc_id", "key", F.when(first, F.col("n_words")).alias("n_words"), F.coalesce("known", F.lit(False)).alias("known")), "marks")
+    found = as_table(marked.filter("known").select("doc_id", "key").distinct(), "candidates")
 
     same = [F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), F.col("d.key") == F.col("c.key")]
     candidates = base.withColumn("key", _row_key(F.col("text"))).alias("d").join(maybe_broadcast(found, 48).alias("c"), same, "left_semi")
@@ -112,7 +113,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     per_doc = as_table(per_doc.select("doc_id", "key", F.aggregate("spans", start, extend)["n"].alias("n_hit"), "ids"), "hits")
 
-    sized = base.select("doc_id", _row_key(F.col("text")).alias("key"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(RAW_WORD)).cast("long").alias("n_words"))
+    sized = marked.filter("n_words is not null").select("doc_id", "key", "n_words")
     same = [F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), F.col("d.key") == F.col("h.key")]
     n_hit = F.coalesce("h.n_hit", F.lit(0).cast("long"))
     return sized.alias("d").join(per_doc.alias("h"), same, "left").select(
