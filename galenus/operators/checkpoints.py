@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in ``spark.checkpoint.dir``, which all executors share; a local folder only where none is set."""
+    """A reliable checkpoint in ``spark.checkpoint.dir``, which all executors share; only Spark on this machine alone may do without one."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="galenus-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="galenus-"))
     return df.checkpoint()

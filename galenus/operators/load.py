@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def top_one(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -124,11 +127,45 @@ def fill_only(stored: DataFrame, update: DataFrame, key: str, missing: dict[str,
     return j.select(*(new.get(c, F.col(c)).alias(c) for c in stored.columns), F.coalesce(changed, F.lit(False)).alias("changed"))
 
 
-def part_numbers(rows: DataFrame, bucket: str, order: str, size: Column, most_rows: int, most_bytes: int) -> DataFrame:
-    """Adds ``part``: within each bucket, parts of at most the caps by running sums; a row over the byte cap may stand alone."""
-    w = Window.partitionBy(bucket).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before_rows, before_bytes = F.count(F.lit(1)).over(w), F.coalesce(F.sum(size).over(w), F.lit(0))
-    return rows.withColumn("part", F.greatest(F.floor(before_rows / most_rows), F.floor(before_bytes / most_bytes)).cast("long"))
+#: Rows of a slice of a bucket, about. Each slice starts a part of its own, so a hot bucket is many tasks' work.
+SLICE_ROWS = 5_000_000
+
+
+def part_numbers(rows: DataFrame, bucket: str, order: str, size: Column, most_rows: int, most_bytes: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Adds ``part`` (long): within each bucket, in ``order``, a row that would take a part over a cap starts the next one.
+
+    So a part has at most ``most_rows`` rows and ``most_bytes`` bytes, or is one
+    row over the byte cap. Both counters start anew with each part, which no
+    window can express: rows stream through one fold per task. A bucket of over
+    ``slice_rows`` rows is dealt to slices by hash of the order; the slice is the
+    part's number above 32 bits, 0 for buckets of one slice. A null size counts
+    0. Rows with equal order are told apart by all their values.
+    """
+    slices = rows.groupBy(bucket).agg(F.ceil(F.count("*") / slice_rows).alias("_slices")).filter("_slices > 1")
+    many = {r[0]: r[1] for r in slices.collect()}  # buckets with over slice_rows rows: a handful
+    dealt = F.lit(0).cast("long")
+    for k, n in many.items():
+        dealt = F.when(F.col(bucket).eqNullSafe(F.lit(k)), F.pmod(F.xxhash64(order), F.lit(n))).otherwise(dealt)
+    columns, kinds = rows.columns, dict(rows.dtypes)
+    keyed = rows.withColumns({"_size": F.coalesce(size.cast("long"), F.lit(0)), "_slice": dealt})
+    placed = keyed.repartition(F.col(bucket), F.col("_slice")).sortWithinPartitions(bucket, "_slice", order, *(c for c in columns if c not in (bucket, order) and not kinds[c].startswith("map")))
+    at, in_slice, in_size = columns.index(bucket), len(columns) + 1, len(columns)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, n, held, part = object(), 0, 0, 0
+        for b in batches:
+            parts = []
+            for key, k, add in zip(b.column(at).to_pylist(), b.column(in_slice).to_pylist(), b.column(in_size).to_pylist(), strict=True):
+                if (key, k) != now:
+                    now, n, held, part = (key, k), 0, 0, k << 32
+                elif n == most_rows or held + add > most_bytes:
+                    n, held, part = 0, 0, part + 1
+                n, held = n + 1, held + add
+                parts.append(part)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(columns))), pa.array(parts, pa.int64())], names=[*columns, "part"])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField("part", T.LongType())])
+    return placed.mapInArrow(number, schema)
 
 
 def write_corpus(rows: DataFrame, path: str) -> None:

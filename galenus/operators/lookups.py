@@ -20,9 +20,17 @@ DATASETS = {
     "safety_actions": ("fda_enforcement", "ema_referrals", "ema_dhpc", "ema_psusa"),
 }
 STATUS_FIELD = {"fda_drugsfda": "products[*].marketing_status", "ema_medicines": "medicine_status", "fda_enforcement": "status", "ema_referrals": "referral_status", "ema_psusa": "regulatory_outcome"}
+#: Records that one lookup brings to the driver at most; what is beyond is counted in a note. The DataFrame functions have no limit.
+PAGE = 1000
 HISTORY_NOTE = "only the newest version of each label is kept; earlier versions are not covered"
 
 
+def first_page(found: DataFrame, what: str, *order: str) -> tuple[list, tuple[str, ...]]:
+    """The first PAGE rows in order, and a note if there are more."""
+    rows = found.orderBy(*order).limit(PAGE + 1).collect()
+    return rows[:PAGE], (f"limited to the first {PAGE} of {found.count()} {what}",) if len(rows) > PAGE else ()
+
+
 @dataclass(frozen=True)
 class Scope:
     """A moiety family: its keys, substance codes and normalised names."""
@@ -151,7 +159,9 @@ class Lookups:
                 notes.append(f"{dataset}: {undated} records with no date not checked")
             found = records_for_names(self.tables["records"], scope.names, dataset, release, start, end)
             status = payload_values(F.col("payload"), STATUS_FIELD[dataset]) if dataset in STATUS_FIELD else F.array().cast("array<string>")
-            for r in found.withColumn("status", F.array_join(status, "; ")).collect():
+            page, more = first_page(found.withColumn("status", F.array_join(status, "; ")), f"records of {dataset}", "record_key")
+            notes += more
+            for r in page:
                 parts = [f"{dataset} {r.record_key}", *([f"status: {r.status}"] if r.status else []), *([f"date: {r.event_date}"] if r.event_date else []), *([f"jurisdiction: {r.jurisdiction}"] if r.jurisdiction else [])]
                 claims.append(Claim(", ".join(parts), r.status or None, "fetched", Provenance(dataset, release, r.source_file, r.record_key, r.jurisdiction), 1.0, "exact normalised substance name in the latest release"))
         if not scope.names:
@@ -170,13 +180,14 @@ class Lookups:
             return self._missing(("dailymed",), key)
         if not self.ready("articles", "label_substances", "label_sections"):
             return LookupResult((), Coverage(0, ("dailymed",), (HISTORY_NOTE,)))
-        rows = label_sections(self.tables["label_sections"], self.tables["label_substances"], self.tables["articles"], scope.uniis).collect() if scope.uniis else []
+        found = label_sections(self.tables["label_sections"], self.tables["label_substances"], self.tables["articles"], scope.uniis)
+        rows, more = first_page(found, "sections", "article_id", "start_offset") if scope.uniis else ([], ())
         claims = tuple(
             Claim(f"{r.article_id} section {r.loinc_code} {r.title or '(no title)'}, version {r.version or 'unknown'}, effective year {r.year or 'unknown'}", r.title, "fetched",
                   Provenance("dailymed", r.version, r.source_file, f"{r.article_id}#{r.loinc_code}", "US"), 1.0, "exact substance code in the label's active ingredients")
             for r in rows
         )
-        return LookupResult(claims, Coverage(len(claims), (), (HISTORY_NOTE,)))
+        return LookupResult(claims, Coverage(len(claims), (), (HISTORY_NOTE, *more)))
 
     def trials(self, key: int) -> LookupResult:
         scope = self.scope(key)
@@ -184,11 +195,12 @@ class Lookups:
             return self._missing(("aact",), key)
         if not self.ready("intervention_substance", "studies"):
             return LookupResult((), Coverage(0, ("aact",)))
+        rows, more = first_page(trials_for(self.tables["studies"], self.tables["intervention_substance"], scope.keys), "trials", "nct_id")
         claims = tuple(
             Claim(f"{r.nct_id}: {r.brief_title}, {r.overall_status}, {r.phase}", r.nct_id, "fetched", Provenance("aact", record_key=r.nct_id), 1.0, "intervention name resolved to the substance")
-            for r in trials_for(self.tables["studies"], self.tables["intervention_substance"], scope.keys).collect()
+            for r in rows
         )
-        return LookupResult(claims, Coverage(len(claims)))
+        return LookupResult(claims, Coverage(len(claims), (), more))
 
     def report_counts(self, key: int, start: date, end: date) -> LookupResult:
         scope = self.scope(key)

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def canonical(value) -> str:
@@ -19,9 +18,14 @@ def manifest(kind: str, inputs: list[dict], counts: dict, config: dict) -> dict:
 
 
 def write_manifest(path: str, **parts) -> str:
-    """Write the manifest beside its data; returns the config digest."""
-    m = manifest(**parts)
-    Path(path).write_text(json.dumps(m, indent=1, sort_keys=True, default=str))
+    """Write the manifest beside its data, in whatever store the path names; returns the config digest."""
+    m, session = manifest(**parts), SparkSession.active()
+    target = session._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(session._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(json.dumps(m, indent=1, sort_keys=True, default=str).encode()))
+    finally:
+        out.close()
     return m["config_sha256"]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,25 +31,43 @@ def names_by_text(recalls: DataFrame, known: DataFrame) -> DataFrame:
     return ordered.select("recall_number", lots.pick_names(F.col("known")).alias("names")).filter(F.size("names") > 0)
 
 
-def recall_lots(recalls: DataFrame, products: DataFrame, substances: DataFrame, known: DataFrame, release_id: str) -> DataFrame:
-    """One row per recall and lot; a recall without a lot has one row with method none.
+def names_with_a_key(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``found`` (recall_number, names) of which some name is ``known`` (name). All their names stay."""
+    named = found.select("recall_number", F.explode("names").alias("name"))
+    hit = named.join(known.select("name").distinct(), "name", "left_semi").select("recall_number").distinct()
+    return found.join(hit, "recall_number", "left_semi")
+
 
-    Substances come from its own names, else product codes, else substance
-    codes, else its description, in that order.
+def substances_of_recalls(recalls: DataFrame, products: DataFrame, substances: DataFrame, known: DataFrame) -> DataFrame:
+    """(recall_number, names, substance_method) by the first route whose names have a key.
+
+    Routes in order: openfda (the recall's own names, or those of its substance
+    codes if it has none), ndc (names of the product codes in its texts),
+    product_text (known names in its description). A route none of whose names
+    is ``known`` gives way to the next; recalls that none ties to a key are left out.
     """
-    routes = {"ndc": names_by_code(recalls, products), "unii": names_by_unii(recalls, substances), "text": names_by_text(recalls, known)}
-    j = recalls
-    for k, route in routes.items():
-        j = j.join(route.withColumnRenamed("names", f"_{k}"), "recall_number", "left")
-    own = F.when(F.size("substance_names") > 0, F.col("substance_names"))
-    names = F.coalesce(own, *(F.col(f"_{k}") for k in routes))
-    method = F.when(own.isNotNull(), "openfda")
-    for k in routes:
-        method = method.when(F.col(f"_{k}").isNotNull(), k)
-    found = j.select("recall_number", F.lit(release_id).alias("release_id"), names.alias("substance_names"), method.alias("substance_method"), F.explode_outer(lots.extract_lots("code_info")).alias("l"))
+    own = recalls.filter(F.size("substance_names") > 0).select("recall_number", F.col("substance_names").alias("names"))
+    bare = recalls.filter(F.coalesce(F.size("substance_names"), F.lit(0)) <= 0)
+    routes = {"openfda": own.unionByName(names_by_unii(bare, substances)), "ndc": names_by_code(recalls, products), "product_text": names_by_text(recalls, known)}
+    tied = [names_with_a_key(f, known).select("recall_number", "names", F.lit(k).alias("substance_method"), F.lit(i).alias("route")) for i, (k, f) in enumerate(routes.items())]
+    first = reduce(DataFrame.unionByName, tied).groupBy("recall_number").agg(F.min_by(F.struct("names", "substance_method"), "route").alias("r"))
+    return first.select("recall_number", "r.names", "r.substance_method")
+
+
+def recall_lots(recalls: DataFrame, products: DataFrame, substances: DataFrame, known: DataFrame, release_id: str) -> DataFrame:
+    """One row per recall and lot, with the recall's substances (``substances_of_recalls``; null without a route); a recall
+    without a lot has one row with method none."""
+    j = recalls.join(substances_of_recalls(recalls, products, substances, known), "recall_number", "left")
+    found = j.select("recall_number", F.lit(release_id).alias("release_id"), F.col("names").alias("substance_names"), "substance_method", F.explode_outer(lots.extract_lots("code_info")).alias("l"))
     return found.select("recall_number", "release_id", "substance_names", F.col("l.lot").alias("lot_raw"), F.col("l.lot_norm").alias("lot_norm"), F.coalesce("l.method", F.lit("none")).alias("method"), "substance_method")
 
 
+def recall_counts(rows: DataFrame) -> DataFrame:
+    """Of the rows of ``recall_lots``: recalls by substance_method (none: no route), with how many of them have a lot, and their lots."""
+    per = rows.groupBy("recall_number").agg(F.first("substance_method").alias("m"), F.count("lot_norm").alias("lots"))
+    return per.groupBy(F.coalesce("m", F.lit("none")).alias("substance_method")).agg(F.count("*").alias("recalls"), F.count_if(F.col("lots") > 0).alias("with_lot"), F.sum("lots").alias("lots"))
+
+
 def lot_matches(recalled: DataFrame, batches: DataFrame, moiety_names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(matches, counts): recalled lots that reports of the same moiety name, with reports and first and last quarter.
 

@@ -73,8 +73,11 @@ def codelist_parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-with s as (select source, doc_id, n_chars, coalesce(sum(n_chars) over (partition by source order by doc_id rows between unbounded preceding and 1 preceding), 0) as before, row_number() over (partition by source order by doc_id) - 1 as k from documents)
-select doc_id, source, cast(greatest(k // 25, before // 50000) as bigint) as part from s
+with recursive o as (select doc_id, source, n_chars, row_number() over (partition by source order by doc_id) as k from documents),
+r as (select doc_id, source, k, 0::bigint as part, 1 as n, n_chars::bigint as held from o where k = 1 union all
+      select o.doc_id, o.source, o.k, case when f then r.part + 1 else r.part end, case when f then 1 else r.n + 1 end, case when f then o.n_chars else r.held + o.n_chars end
+      from r join o on o.source = r.source and o.k = r.k + 1, lateral (select r.n = 25 or r.held + o.n_chars > 50000 as f))
+select doc_id, source, part from r
 """)
 def bounded_parts(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "source", "n_chars")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import io
+import itertools
+import json
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
@@ -67,6 +70,86 @@ def read_json_feed(spark: SparkSession, path: str, schema: str, field: str = "da
     return raw.select(F.explode(field).alias("item"), F.col("_metadata.file_path").alias("source_file"))
 
 
+def array_items(chunks: Iterator[str], field: str) -> Iterator[str]:
+    """The items of the first array under ``field`` of a JSON document that arrives in pieces, each as its JSON text.
+
+    Only the item at hand is held, so a document may be of any size. ValueError
+    if the document ends within the array.
+    """
+    decoder, opening = json.JSONDecoder(), re.compile(rf'"{re.escape(field)}"\s*:\s*\[')
+    closing = re.compile(r"\s*[,\]]")
+    held, inside, seen = "", False, 0
+    for chunk in chunks:
+        held += chunk
+        if not inside:
+            m = opening.search(held, max(0, seen - len(field) - 64))
+            if m is None:
+                seen = len(held)
+                keep = len(field) + 1024
+                held, seen = held[-keep:], min(seen, keep)
+                continue
+            held, inside, seen = held[m.end() :], True, 0
+        at = 0
+        while True:
+            start = re.compile(r"[\s,]*").match(held, at).end()
+            if held[start : start + 1] == "]":
+                return
+            if len(held) < seen:  # the last try needed more than this
+                break
+            try:
+                _, end = decoder.raw_decode(held, start)
+            except ValueError:
+                seen = 2 * (len(held) - start)
+                break
+            if not closing.match(held, end):  # a number may go on
+                break
+            yield held[start:end]
+            at, seen = end, 0
+        held = held[at:]
+    if inside:
+        tail = held.strip().lstrip(",").strip()
+        while tail and not tail.startswith("]"):
+            _, end = decoder.raw_decode(tail)
+            yield tail[:end]
+            tail = tail[end:].strip().lstrip(",").strip()
+        if not tail:
+            raise ValueError(f"the array {field} doesn't end")
+
+
+def stream_json_items(spark: SparkSession, path: str, schema: str, field: str = "results", piece: int = 1 << 20) -> DataFrame:
+    """(source_file, item) of the array ``field`` of JSON files and of the JSON members of zip files, item by item.
+
+    A task opens its file through the store of the URL and holds one piece and
+    one item at a time, so that documents of gigabytes pass. Files are tasks;
+    more parallelism needs more files.
+    """
+    import pyarrow.fs as pafs
+
+    def texts(url: str) -> Iterator[tuple[str, Iterator[str]]]:
+        store, name = pafs.FileSystem.from_uri(url)
+        with store.open_input_file(name) as f:
+            if url.endswith(".zip"):
+                with zipfile.ZipFile(f) as z:
+                    for i in z.infolist():
+                        if i.filename.endswith(".json"):
+                            with z.open(i) as m:
+                                yield f"{url}!{i.filename}", iter(lambda r=io.TextIOWrapper(m, "utf-8"): r.read(piece), "")
+            else:
+                yield url, iter(lambda r=io.TextIOWrapper(f, "utf-8"): r.read(piece), "")
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for url in b["path"]:
+                for name, chunks in texts(url):
+                    items = array_items(chunks, field)
+                    while rows := list(itertools.islice(items, 500)):
+                        yield pd.DataFrame({"source_file": name, "json": rows})
+
+    files = spark.read.format("binaryFile").load(path).select("path")
+    listed = files.repartition(max(1, files.count()), "path")
+    return listed.mapInPandas(parse, "source_file string, json string").select("source_file", F.from_json("json", schema).alias("item"))
+
+
 def book_rows(members: DataFrame) -> DataFrame:
     """Parts of book packages, with suffixes for repeated part ids; parts without a body are left out. The book is the package."""
     from pyspark.sql import Window
@@ -106,13 +189,16 @@ def unique_names(names: list[str]) -> list[str]:
 
 
 def read_code_zip(spark: SparkSession, path: str, member: str, system: str, code: str, label: str) -> DataFrame:
-    """(system_key, code, label) of a CSV member of a zip file."""
-    text = read_members(spark, path, member).filter("content is not null").select(F.explode(F.split(F.decode("content", "UTF-8"), r"\r?\n")).alias("line"))
-    head = text.select("line").head()[0]
-    names = pd.read_csv(io.StringIO(head), nrows=0).columns.to_list()
-    row = F.from_csv("line", ", ".join(f"`{n}` string" for n in names))
-    parsed = text.filter((F.col("line") != head) & (F.col("line") != "")).select(row.alias("r"))
-    return parsed.select(F.lit(system).alias("system_key"), F.col(f"r.`{code}`").alias("code"), F.col(f"r.`{label}`").alias("label"))
+    """(system_key, code, label) of a CSV member of zip files. Each member is parsed whole, so quoted line breaks stay."""
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for content in b["content"]:
+                got = pd.read_csv(io.BytesIO(content), dtype=str, keep_default_na=False, na_values=[""], usecols=[code, label])
+                yield pd.DataFrame({"system_key": system, "code": got[code], "label": got[label]})
+
+    held = read_members(spark, path, member).filter("content is not null").select("content")
+    return held.mapInPandas(parse, "system_key string, code string, label string")
 
 
 def read_code_json(spark: SparkSession, path: str, system: str, field: str = "content") -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-BATCH_ROWS = 10_000
+BATCH_ROWS, MAX_PARTITIONS = 10_000, 10_000
 TYPES = {"INT": ("bigint", pa.int64()), "REA": ("double", pa.float64()), "FLO": ("double", pa.float64()), "DOU": ("double", pa.float64()), "NUM": ("double", pa.float64())}
 
 
@@ -39,7 +39,10 @@ class TableReader(DataSourceReader):
     def partitions(self) -> list[RowRange]:
         with self._open() as con:
             low, high = con.execute(f"select min(rowid), max(rowid) from {_name(self.table)}").fetchone()
-        return [] if low is None else [RowRange(a, a + self.rows - 1) for a in range(low, high + 1, self.rows)]
+        if low is None:
+            return []
+        step = max(self.rows, -(-(high - low + 1) // MAX_PARTITIONS))  # sparse row ids make wider ranges, not more
+        return [RowRange(a, a + step - 1) for a in range(low, high + 1, step)]
 
     def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
         columns = self.columns()

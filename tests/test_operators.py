@@ -94,10 +94,10 @@ def test_recall_routes_and_matches(spark):
     )
     products = spark.createDataFrame([("123450678", "prod")], "product_key string, name string")
     subs = spark.createDataFrame([("U1", "coded")], "unii string, name string")
-    known = spark.createDataFrame([("aspirin acid",), ("aspirin",)], "name string")
+    known = spark.createDataFrame([("aspirin acid",), ("aspirin",), ("own",), ("prod",), ("coded",)], "name string")
     got = recall.recall_lots(recalls, products, subs, known, "2024").orderBy("recall_number", "lot_norm").collect()
     assert [(r.recall_number, r.substance_names, r.lot_norm, r.method, r.substance_method) for r in got] == [
-        ("r1", ["own"], "A1234", "prefix", "openfda"), ("r2", ["prod"], "B100", "range", "ndc"), ("r2", ["prod"], "B101", "range", "ndc"), ("r3", ["aspirin acid"], None, "none", "text"), ("r4", ["coded"], None, "none", "unii"),
+        ("r1", ["own"], "A1234", "prefix", "openfda"), ("r2", ["prod"], "B100", "range", "ndc"), ("r2", ["prod"], "B101", "range", "ndc"), ("r3", ["aspirin acid"], None, "none", "product_text"), ("r4", ["coded"], None, "none", "openfda"),
     ]
     batches = spark.createDataFrame([("m", "B100", Q, 3), ("m", "B100", D(2021, 1, 1), 4), ("m", "UNK", Q, 9)], "moiety string, lot string, quarter date, reports long")
     names = spark.createDataFrame([("m", "prod")], "moiety string, name string")
@@ -106,6 +106,42 @@ def test_recall_routes_and_matches(spark):
     assert recall.lot_matches(spark.createDataFrame(got), batches.limit(0), names)[1].head().recalls == 4
 
 
+def test_recall_routes_without_a_key_give_way(spark):
+    rows = [("r1", "NDC 12345-678-90", "Lot A1234", ["keyless"], ["U1"]), ("r2", "NDC 99999-678-90 aspirin", None, ["keyless"], []), ("r3", "nothing", "Lot C9999", ["keyless"], []), ("r4", "nothing", None, ["keyless", "known too"], [])]
+    recalls = spark.createDataFrame(rows, "recall_number string, description string, code_info string, substance_names array<string>, uniis array<string>")
+    products = spark.createDataFrame([("123450678", "prod"), ("123450678", "other"), ("999990678", "keyless")], "product_key string, name string")
+    subs = spark.createDataFrame([("U1", "coded")], "unii string, name string")
+    known = spark.createDataFrame([("aspirin",), ("prod",), ("coded",), ("known too",)], "name string")
+    lots = recall.recall_lots(recalls, products, subs, known, "1")
+    got = {r.recall_number: (r.substance_names, r.substance_method) for r in lots.collect()}
+    assert got == {"r1": (["other", "prod"], "ndc"), "r2": (["aspirin"], "product_text"), "r3": (None, None), "r4": (["keyless", "known too"], "openfda")}
+    assert {tuple(r) for r in recall.recall_counts(lots).collect()} == {("ndc", 1, 1, 1), ("product_text", 1, 0, 0), ("none", 1, 1, 1), ("openfda", 1, 0, 0)}
+
+
+def plain_parts(sizes, most_rows, most_bytes):
+    out, part = [], []
+    for n in sizes:
+        if part and (len(part) == most_rows or sum(part) + n > most_bytes):
+            out.append(part)
+            part = []
+        part.append(n)
+    return [*out, part] if part else out
+
+
+def test_parts_keep_both_caps(spark):
+    sizes = {"x": [1000] * 6 + [0] * 500, "y": [10, 5000, 10, 990, 1], "z": [7] * 230, None: [1, None]}
+    rows = [(b, i, n) for b, ns in sizes.items() for i, n in enumerate(ns)]
+    got = load.part_numbers(spark.createDataFrame(rows, "b string, o int, n int").repartition(5), "b", "o", F.col("n"), 100, 1000).collect()
+    for b, ns in sizes.items():
+        parts = {}
+        for r in sorted((r for r in got if r.b == b), key=lambda r: r.o):
+            parts.setdefault(r.part, []).append(r.n or 0)
+        assert [parts[k] for k in sorted(parts)] == plain_parts([n or 0 for n in ns], 100, 1000) and sorted(parts) == list(range(len(parts)))
+    sliced = load.part_numbers(spark.createDataFrame(rows, "b string, o int, n int"), "b", "o", F.col("n"), 100, 1000, slice_rows=100).groupBy("b", "part").agg(F.count("*").alias("rows"), F.sum("n").alias("bytes")).collect()
+    assert all(r.rows <= 100 and ((r.bytes or 0) <= 1000 or r.rows == 1) for r in sliced) and sum(r.rows for r in sliced) == len(rows)
+    assert len({r.part >> 32 for r in sliced if r.b == "x"}) > 1
+
+
 def test_loads(spark):
     s = spark.createDataFrame([("1", "a", 1), ("2", "a", 1), ("3", "b", 1), ("9", "b", 1)], "id string, source_file string, v int")
     new = spark.createDataFrame([("1", "a", 2), ("3", "a", 2)], "id string, source_file string, v int")

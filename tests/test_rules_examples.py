@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sqlite3
 import zipfile
 from datetime import date
@@ -132,13 +133,42 @@ def test_sqlite_tables(spark, tmp_path):
 
 def test_code_files(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "l.zip", "w") as z:
-        z.writestr("Table/codes.csv", '"NUM","NAME"\n"1-8","A, b"\n"2-6","C"\n')
+        z.writestr("Table/codes.csv", '"NUM","NAME"\n"1-8","A, b"\n"2-6","C\nd"\n')
     got = archives.read_code_zip(spark, f"file://{tmp_path}/l.zip", "codes.csv", "loinc", "NUM", "NAME")
-    assert {(r.code, r.label) for r in got.collect()} == {("1-8", "A, b"), ("2-6", "C")}
+    assert {(r.code, r.label) for r in got.collect()} == {("1-8", "A, b"), ("2-6", "C\nd")}
     (tmp_path / "e.json").write_text('{"content": [{"code": "T1", "english": "Tablet"}, {"english": "none"}]}')
     assert [tuple(r) for r in archives.read_code_json(spark, f"file://{tmp_path}/e.json", "edqm").collect()] == [("edqm", "T1", "Tablet")]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.integers(-9, 10**6), st.text(max_size=8), st.dictionaries(st.text(max_size=3), st.lists(st.integers(), max_size=3), max_size=3), st.none(), st.booleans(), st.floats(allow_nan=False, allow_infinity=False)), max_size=12), st.integers(1, 40), st.booleans(), st.integers(0, 3))
+def test_items_of_an_array_in_pieces(items, size, bare, more):
+    text = json.dumps({"meta": {"n": 1}, **({"other": [1, 2]} if more else {}), "results": items, **({"tail": ["x"] * more} if not bare else {})}, indent=more or None)
+    got = list(archives.array_items((text[i : i + size] for i in range(0, len(text), size)), "results"))
+    assert [json.loads(x) for x in got] == items
+    with pytest.raises(ValueError):
+        list(archives.array_items(iter(['{"results": [1, 2']), "results"))
+
+
+def test_documents_are_streamed(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"results": [{"k": i, "v": "x" * i} for i in range(1200)]}))
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
+        z.writestr("c.json", json.dumps({"results": [{"k": -1}]}))
+    got = archives.stream_json_items(spark, f"file://{tmp_path}/*", "k int, v string")
+    assert got.count() == 1201 and got.filter("item.k = 1199 and length(item.v) = 1199").count() == 1 and got.filter("source_file like '%b.zip!c.json'").count() == 1
+
+
+def test_sparse_row_ids_make_few_partitions(spark, tmp_path):
+    con = sqlite3.connect(tmp_path / "s.db")
+    con.execute("create table t (id integer primary key, v text)")
+    con.executemany("insert into t values (?, ?)", [(1, "a"), (10**12, "b")])
+    con.commit()
+    con.close()
+    reader = sqlite.TableReader(f"{tmp_path}/s.db", "t", 10)
+    parts = reader.partitions()
+    assert len(parts) <= sqlite.MAX_PARTITIONS + 1 and sum(b.num_rows for p in (parts[0], parts[-1]) for b in reader.read(p)) == 2
+
+
 def test_documents(spark, tmp_path):
     rows = spark.createDataFrame([("1", "epar", "https://x/a", 2, 1), ("1", "epar", "https://x/b", 2, 0), ("z", "epar", "https://x/c", 1, 2), ("2", "other", "https://x/d", 1, 3), ("3", "epar", "http://y", 1, 4)], "id string, type string, url string, last_updated int, position int")
     kept, refused = documents.select_documents(rows, ("epar",), "https://x/")
