@@ -61,3 +61,9 @@ def normalize_licence(raw: Column) -> Column:
 
 def subset_of(code: Column, default: str = "open_metadata") -> Column:
     return F.when(code.isin(*COMMERCIAL), "commercial").when(code.startswith("CC BY-NC") | (code == "text_mining"), "text_mining").otherwise(default)
+
+
+def is_commercial(code: Column) -> Column:
+    """Whether an article's licence code allows commercial use: CC0, CC BY-SA, CC BY-ND, and CC BY without an NC."""
+    v = F.upper(F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(code, F.lit("")), "_", " "), r"\s+", " ")))
+    return v.startswith("CC0") | v.rlike("^CC BY[- ](?:SA|ND)") | (v.startswith("CC BY") & ~F.contains(v, F.lit("NC")))

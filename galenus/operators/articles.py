@@ -192,3 +192,17 @@ def codelist_parts(rows: DataFrame, package: str, release: str, most: int = 200)
         F.concat_ws("\n", head, F.nullif(F.col("terms"), F.lit(""))).alias("text"), "n_terms", "part", "n_parts",
     )
     return out, counters
+
+
+def document_articles(documents: DataFrame, source_file: Column, licence_raw: str) -> DataFrame:
+    """Regulator documents (id, name, type, url, product_number, medicine_name, first_published, last_updated, text) as
+    articles. The status is set here, since book_meta would make them book rows: ok with text, else empty."""
+    body = F.when(F.trim(F.coalesce("text", F.lit(""))) != "", F.col("text"))
+    meta = F.to_json(F.struct(F.col("type").alias("doc_type"), F.col("id").alias("document_id"), "medicine_name", F.col("first_published").alias("first_published_date"), F.col("last_updated").alias("last_updated_date")), {"ignoreNullFields": "false"})
+    rows = documents.select(
+        F.concat_ws(":", F.lit("epar"), "id").alias("id"), F.lit("epar").alias("source"), source_file.alias("source_file"), F.nullif("product_number", F.lit("")).alias("source_record_id"),
+        F.coalesce(F.nullif("name", F.lit("")), F.concat(F.lit("EPAR document "), "id")).alias("title"), body.alias("body_text"), F.nullif(F.regexp_extract("first_published", r"^(\d{4})", 1), F.lit("")).cast("int").alias("year"),
+        F.lit("en").alias("language"), F.lit("permissive").alias("license"), F.lit(licence_raw).alias("license_raw"), F.col("url").alias("pdf_url"), meta.alias("book_meta"),
+        F.when(body.isNotNull(), "ok").otherwise("empty").alias("extract_status"),
+    )
+    return finalize(rows)

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ast
+import hashlib
+import importlib.util
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
+import pandas as pd
+from pyspark.sql import DataFrame
 
 # Rule -> the measure that it bounds.
 MINIMUM = {"min_rows": "rows", "min_rows_per_input": "rows_per_input", "min_text_bytes_per_input_byte": "text_bytes_per_input_byte"}
@@ -124,3 +131,59 @@ def input_set_problems(parts: list[tuple[str, int, int]]) -> list[str]:
     at = sorted(int(q[:4]) * 4 + int(q[-1]) - 1 for q in by)
     out += [f"{n // 4}q{n % 4 + 1} is missing" for a, b in zip(at, at[1:], strict=False) for n in range(a + 1, b)]
     return out
+
+
+def unexpected_missing(known: set[str], have: set[str], absent: set[str] = frozenset()) -> list[str]:
+    """Tables of the dictionary that a release lacks, other than those known to be ``absent``: each fails its load."""
+    return sorted(known - have - absent)
+
+
+def unmarked_shards(files: DataFrame, mark: str, value: str) -> DataFrame:
+    """(path, problem) of shards (path) that may not be matched by id: not parquet, or without ``mark`` = ``value`` in the
+    file's key-value metadata. Only footers are read."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for path in b["path"]:
+                if not path.endswith(".parquet"):
+                    out.append((path, "not parquet"))
+                    continue
+                store, name = pafs.FileSystem.from_uri(path)
+                with store.open_input_file(name) as f:
+                    held = pq.ParquetFile(f).schema_arrow.metadata or {}
+                if held.get(mark.encode()) != value.encode():
+                    out.append((path, f"no {mark}={value}"))
+            yield pd.DataFrame(out, columns=["path", "problem"])
+
+    return files.select("path").mapInPandas(check, "path string, problem string")
+
+
+def code_hash(module: str, package: str = "galenus") -> str:
+    """Digest of a module's source and of all modules of the package that it imports, directly or not: a change makes an
+    earlier pass void."""
+    found: dict[str, bytes] = {}
+    waiting = [module]
+    while waiting:
+        name = waiting.pop()
+        spec = importlib.util.find_spec(name) if name not in found else None
+        if spec is None or not spec.origin:
+            continue
+        found[name] = Path(spec.origin).read_bytes()
+        for node in ast.walk(ast.parse(found[name])):
+            names = [a.name for a in node.names] if isinstance(node, ast.Import) else []
+            if isinstance(node, ast.ImportFrom) and node.module:
+                names = [node.module, *(f"{node.module}.{a.name}" for a in node.names if _is_module(f"{node.module}.{a.name}", package))]
+            waiting += [n for n in names if n.split(".")[0] == package]
+    return hashlib.sha256(b"".join(n.encode() + b"\0" + hashlib.sha256(found[n]).digest() for n in sorted(found))).hexdigest()
+
+
+def _is_module(name: str, package: str) -> bool:
+    if name.split(".")[0] != package:
+        return False
+    try:
+        return importlib.util.find_spec(name) is not None
+    except ModuleNotFoundError:
+        return False

@@ -111,3 +111,35 @@ def measures(*frames: DataFrame) -> dict:
 def count_map(rows: DataFrame, column: str) -> dict:
     """value -> count of a column with few values."""
     return {r["value"]: r["n"] for r in histogram(rows, column).collect()}
+
+
+def report_measures(reports: DataFrame, drugs: DataFrame, reactions: DataFrame, pairs: DataFrame, events: DataFrame, entries: DataFrame, bridged: DataFrame) -> DataFrame:
+    """One row: reports and how many ids repeat, the years and the largest of them (ties to the later), rows of the parts and
+    of the signal tables, and the share of drug entries (entry_id) that the bridge links; null without entries."""
+    years = reports.groupBy("receive_year").agg(F.count("*").alias("n"))
+    whole = reports.agg(
+        F.count("*").alias("reports"), (F.count("*") - F.count_distinct("safetyreportid")).alias("duplicate_ids"), F.min("receive_year").alias("receive_year_min"), F.max("receive_year").alias("receive_year_max"),
+    )
+    largest = years.agg(F.max(F.struct("n", "receive_year")).alias("m")).select(F.col("m.receive_year").alias("largest_year"), F.coalesce("m.n", F.lit(0)).alias("largest_year_reports"))
+    sizes = [f.agg(F.count("*").alias(n)) for n, f in {"drug_rows": drugs, "reaction_rows": reactions, "signal_pair_rows": pairs, "signal_event_rows": events}.items()]
+    linked = entries.join(bridged.select("entry_id").distinct().withColumn("_linked", F.lit(True)), "entry_id", "left")
+    share = linked.agg(_pct(F.count("_linked"), F.count("*")).alias("xref_coverage_pct"))
+    out = whole
+    for one in (largest, *sizes, share):  # frames of one row
+        out = out.crossJoin(one)
+    return out
+
+
+def section_share(documents: DataFrame, sections: DataFrame) -> DataFrame:
+    """Documents (document_id) with and without a row in ``sections``, and the percentage with; null without documents."""
+    marked = documents.select("document_id").join(sections.select("document_id").distinct().withColumn("_has", F.lit(True)), "document_id", "left")
+    return marked.agg(F.count("_has").alias("documents_with_sections"), F.count_if(F.col("_has").isNull()).alias("documents_without_sections"), _pct(F.count("_has"), F.count("*")).alias("sections_share_pct"))
+
+
+def feed_measures(records: DataFrame, declared: DataFrame, names: DataFrame, known: DataFrame) -> DataFrame:
+    """By dataset: rows, whether they are as many as declared, and the share of its distinct names that are known."""
+    rows = records.groupBy("dataset").agg(F.count("*").alias("rows")).join(declared, "dataset", "full")
+    named = names.select("dataset", "name").distinct().join(known.select("name").distinct().withColumn("_known", F.lit(True)), "name", "left")
+    cover = named.groupBy("dataset").agg(_pct(F.count("_known"), F.count("*")).alias("xref_coverage_pct"))
+    out = rows.join(cover, "dataset", "left")
+    return out.select("dataset", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce(F.col("rows") == F.col("total"), F.lit(False)).alias("meta_total_equals_rows"), "xref_coverage_pct")

@@ -150,21 +150,6 @@ def stream_json_items(spark: SparkSession, path: str, schema: str, field: str =
     return listed.mapInPandas(parse, "source_file string, json string").select("source_file", F.from_json("json", schema).alias("item"))
 
 
-def book_rows(members: DataFrame) -> DataFrame:
-    """Parts of book packages, with suffixes for repeated part ids; parts without a body are left out. The book is the package."""
-    from pyspark.sql import Window
-
-    from galenus.sources.xml import parse_jats
-
-    named = members.filter("content is not null").select(F.concat_ws("!", "source_file", "member").alias("path"), "content")
-    parts = parse_jats(named).filter("error is null and body_text is not null")
-    package = F.get(F.split("source_file", "!"), F.lit(0))
-    stem = F.regexp_extract("source_file", r"([^/!]+?)(?:\.n?xml)?$", 1)
-    w = Window.partitionBy("container_id", "part").orderBy("source_file")
-    rows = parts.withColumn("container_id", package).withColumn("part", stem).withColumn("_n", F.row_number().over(w))
-    return rows.withColumn("id", F.concat_ws(":", "container_id", F.when(F.col("_n") > 1, F.concat_ws("-", "part", F.col("_n").cast("string"))).otherwise(F.col("part")))).drop("_n", "part")
-
-
 def read_workbook(data: bytes, known: set[str], least: int = 3) -> pd.DataFrame:
     """The sheet below the first row that holds ``least`` known column names; repeated names get a suffix. Needs openpyxl."""
     try:

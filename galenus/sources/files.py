@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Column names that mark question-answer data, and names of evaluation sets.
@@ -35,6 +35,24 @@ def discover(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("modified")).distinct()
 
 
+def highest_versions(files: DataFrame, name: Column, bucket_width: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """(files of the highest version of each article, counts by bucket: kept, superseded versions, duplicate files).
+
+    ``name`` is like PMC123.4.json; of files with one id and version the first
+    path counts. Names of another form are the bucket null, counted as unrecognised.
+    """
+    parts = r"^PMC(\d+)\.(\d+)\.\w+$"
+    number, version = (F.nullif(F.regexp_extract(name, parts, i), F.lit("")).cast("bigint") for i in (1, 2))
+    marked = files.withColumns({"pmc_id": number, "version": version}).withColumn("bucket", F.floor(F.col("pmc_id") / bucket_width))
+    copies = Window.partitionBy("pmc_id", "version").orderBy("path")
+    ranked = marked.withColumn("_copy", F.row_number().over(copies)).withColumn("_top", F.max("version").over(Window.partitionBy("pmc_id")))
+    named, first, top = F.col("pmc_id").isNotNull(), F.col("_copy") == 1, F.col("version") == F.col("_top")
+    counts = ranked.groupBy("bucket").agg(
+        F.count_if(named & first & top).alias("kept"), F.count_if(named & first & ~top).alias("superseded"), F.count_if(named & ~first).alias("duplicates"), F.count_if(~named).alias("unrecognised"),
+    )
+    return ranked.filter(named & first & top).drop("_copy", "_top"), counts
+
+
 def read_text_lines(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
     reader = spark.read
     if separator:

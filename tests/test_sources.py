@@ -8,10 +8,13 @@ import json
 import tarfile
 import zipfile
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from galenus.operators import articles
-from galenus.sources import archives, feeds, files, tables, texts, xml
+from galenus.operators import articles, gate
+from galenus.sources import archives, books, bulk, feeds, files, substances, tables, texts, xml
 
 RECORD = """<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID Version="1">11</PMID><Article><Journal><Title>J Test</Title><JournalIssue><PubDate><MedlineDate>1998 Dec-1999 Jan</MedlineDate></PubDate></JournalIssue></Journal>
 <ArticleTitle>A title</ArticleTitle><Abstract><AbstractText Label="AIM">To test.</AbstractText><AbstractText>More.</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName><ForeName>Jo</ForeName>
@@ -79,18 +82,10 @@ def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("x.json", json.dumps({"results": [{"id": "1"}, {"id": "2"}]}))
         z.writestr("x.txt", "no")
-    with tarfile.open(tmp_path / "b.tar.gz", "w:gz") as t:
-        data = b"<article><front><article-meta><title-group><article-title>T</article-title></title-group></article-meta></front><body><p>Body</p></body></article>"
-        for n in ("p1.xml", "q/p1.xml"):
-            info = tarfile.TarInfo(n)
-            info.size = len(data)
-            t.addfile(info, io.BytesIO(data))
     (tmp_path / "c.zip").write_bytes(b"PK broken")
     members = archives.read_members(spark, f"file://{tmp_path}/a.zip", ".json")
     assert sorted(r.item.id for r in archives.json_items(members, "id:string").collect()) == ["1", "2"]
     assert archives.read_members(spark, f"file://{tmp_path}/c.zip").head().error.startswith("BadZipFile")
-    books = archives.book_rows(archives.read_members(spark, f"file://{tmp_path}/b.tar.gz", ".xml")).collect()
-    assert len(books) == 2 and len({b.id for b in books}) == 2 and books[0].body_text == "Body"
     assert archives.unique_names(["a", "b", "a"]) == ["a", "b", "a_2"]
 
 
@@ -143,3 +138,86 @@ def test_incremental_ingest(spark, tmp_path):
     run()
     run()
     assert {(r.id, r.source_file) for r in spark.read.parquet(f"file://{tmp_path}/out").collect()} == {("1", "a.json"), ("2", "b.json")}
+
+
+def tar_of(path, members):
+    with tarfile.open(path, "w:gz") as t:
+        for name, text in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(text.encode())
+            t.addfile(info, io.BytesIO(text.encode()))
+
+
+def test_books(spark, tmp_path):
+    meta = "<book-meta><book-title-group><book-title>The Book</book-title></book-title-group><pub-date><year>2011</year></pub-date><publisher><publisher-name>P</publisher-name></publisher><isbn>1</isbn><contrib-group><contrib contrib-type='editor'><name><surname>Doe</surname></name></contrib></contrib-group><abstract><p>About it.</p></abstract><permissions><license><p>CC BY 4.0</p></license></permissions></book-meta>"
+    part = lambda i, title, body: f"<book-part id='{i}'><book-part-meta><title-group><title>{title}</title></title-group></book-part-meta><body>{body}</body></book-part>"
+    nested = part("c2", "Two", "<p>two</p>" + part("c3", "Three", "<p>three</p>"))
+    tar_of(tmp_path / "B1.tar.gz", [
+        ("x/other.nxml", f"<book-part-wrapper>{part('c1', 'One', '<p>again</p>')}</book-part-wrapper>"), ("x/B1.nxml", f"<book>{meta}<book-body>{part('c1', 'One', '<p>one</p>')}{part('c0', 'Index', '<p>a 1</p>')}{part('c9', 'Empty', '')}{nested}"
+         f"{part('c8', 'Words', '<index><p>short</p></index>')}</book-body></book>"), ("x/fig.xml", "<figure/>"),
+    ])
+    tar_of(tmp_path / "B2.tar.gz", [("a.xml", "<article/>")])
+    got = {r.id or r.source_file: r for r in books.parse_books(spark.read.format("binaryFile").load(f"file://{tmp_path}/*.gz")).collect()}
+    whole = got["book:B1"]
+    about = json.loads(whole.book_meta)
+    assert (whole.title, whole.text, whole.year, whole.license_raw) == ("The Book", "About it.", 2011, "CC BY 4.0") and about["n_parts"] == 4 and about["skipped_members"] == ["x/fig.xml"] and about["editors"] == ["Doe"]
+    assert {i: r.text for i, r in got.items() if r.container_id} == {"book:B1:c1": "again", "book:B1:c1__B1": "one", "book:B1:c2": got["book:B1:c2"].text, "book:B1:c3": "three"}
+    assert "two" in got["book:B1:c2"].text and "three" in got["book:B1:c2"].text and got["book:B1:c1__B1"].source_record_id == "c1"
+    assert next(r for r in got.values() if r.error).error.startswith("ValueError")
+
+
+def test_bulk_articles(spark, tmp_path):
+    article = lambda ids, body: "<article><front><article-meta>" + "".join(f"<article-id pub-id-type='{k}'>{v}</article-id>" for k, v in ids) + f"<title-group><article-title>T</article-title></title-group><permissions><license xmlns:x='http://www.w3.org/1999/xlink' x:href='https://l/'><license-p>free</license-p></license></permissions></article-meta></front>{body}</article>"
+    text = "<body><p>Text</p><response><article><body><p>inner</p></body></article></response></body>"
+    articles = [article([("archive", "PPR1"), ("doi", "10.1/a")], text), article([("other", "PPR2")], text), article([("pmid", "5")], text), article([("archive", "PPR3")], ""), article([("archive", "PPR1"), ("doi", "10.1/a")], text)]
+    (tmp_path / "a.xml.gz").write_bytes(gzip.compress(f"<articles>{''.join(articles)}</articles>".encode()))
+    (tmp_path / "b.xml").write_text(f"<articles>{articles[0]}<article>")
+    parsed = bulk.parse_bulk(spark.read.format("binaryFile").load(f"file://{tmp_path}/*"))
+    kept, skipped = bulk.preprints(parsed)
+    rows = {(r.source_file.split("/")[-1], r.id): r for r in kept.collect()}
+    assert set(rows) == {("a.xml.gz", "doi:10.1/a"), ("a.xml.gz", "preprint:PPR2"), ("b.xml", "doi:10.1/a")} and rows["b.xml", "doi:10.1/a"].license_raw == "https://l/ free"
+    assert {(r.source_file.split("/")[-1], r.reason, r["count"]) for r in skipped.collect()} == {("a.xml.gz", "no_ppr_id", 1), ("a.xml.gz", "no_text", 1), ("a.xml.gz", "duplicate_id", 1), ("b.xml", "damaged", 1)}
+
+
+def test_manuscripts(spark, tmp_path):
+    tar_of(tmp_path / "m.tar.gz", [("PMC1/PMC12.txt", "The body"), ("PMC1/PMC12.xml", "<article><body><p>Text</p></body></article>"), ("notes.txt", "none"), ("x.jpg", "no")])
+    got = {r.id.split("/")[-1]: r for r in bulk.manuscripts(spark, f"file://{tmp_path}/m.tar.gz").collect()}
+    assert set(got) == {"manuscript:PMC12:txt", "manuscript:PMC12:xml", "m.tar.gz:notes.txt"} and got["manuscript:PMC12:txt"].body_text == "The body" and got["manuscript:PMC12:xml"].body_text == "Text"
+    assert got["m.tar.gz:notes.txt"].pmcid is None and got["manuscript:PMC12:txt"].subset == "text_mining"
+
+
+def test_substances(spark, tmp_path):
+    records = [
+        {"unii": " A1 ", "names": [{"name": " "}, {"name": "First"}, {"name": "Chosen\u0000 ", "preferred": True}], "codes": [{"code_system": "RXCUI", "code": "7"}, {"code_system": "WHO-ATC", "code": "a01"}, {"code_system": "WHO-VATC", "code": "q"}],
+         "relationships": [{"type": "ACTIVE MOIETY", "related_substance": {"unii": "A1"}}, {"type": "ACTIVE MOIETY", "related_substance": {"unii": "M1"}}, {"type": "ACTIVE MOIETY", "related_substance": {"unii": "M2"}}]},
+        {"unii": "B", "names": [{"name": "FIRST"}, {"name": "x" * 3000}], "relationships": [{"type": "OTHER", "related_substance": {"unii": "Z"}}]}, {"unii": None, "names": [{"name": "lost"}]}, {"unii": "C"},
+    ]
+    (tmp_path / "s.json").write_text(json.dumps({"meta": {}, "results": records}))
+    read = substances.read_substances(spark, f"file://{tmp_path}/s.json").cache()
+    assert {tuple(r) for r in substances.substance_rows(read).collect()} == {("A1", "Chosen", "M1", True), ("B", "FIRST", "B", False), ("C", None, "C", False)}
+    pairs, long_names = substances.cross_references(read)
+    assert {tuple(r) for r in pairs.collect()} == {("A1", "name", "first"), ("A1", "name", "chosen"), ("A1", "rxcui", "7"), ("A1", "atc", "A01"), ("A1", "unii", "A1"), ("B", "name", "first"), ("B", "unii", "B"), ("C", "unii", "C")}
+    assert long_names.count() == 1
+
+
+def test_highest_versions(spark):
+    names = ["a/PMC1.1.json", "a/PMC1.2.json", "b/PMC1.2.json", "a/PMC2000001.1.json", "a/readme.md"]
+    rows = spark.createDataFrame([(n,) for n in names], "path string")
+    kept, counts = files.highest_versions(rows, F.regexp_extract("path", r"([^/]+)$", 1))
+    assert {r.path for r in kept.collect()} == {"a/PMC1.2.json", "a/PMC2000001.1.json"}
+    assert {tuple(r) for r in counts.collect()} == {(0, 1, 1, 1, 0), (2, 1, 0, 0, 0), (None, 0, 0, 0, 1)}
+
+
+def test_unmarked_shards(spark, tmp_path):
+    table = pa.table({"x": [1]})
+    pq.write_table(table.replace_schema_metadata({"ids": "2"}), tmp_path / "a.parquet")
+    pq.write_table(table, tmp_path / "b.parquet")
+    (tmp_path / "c.jsonl").write_text("{}")
+    paths = spark.createDataFrame([(f"file://{tmp_path}/{n}",) for n in ("a.parquet", "b.parquet", "c.jsonl")], "path string")
+    assert {(r.path.split("/")[-1], r.problem) for r in gate.unmarked_shards(paths, "ids", "2").collect()} == {("b.parquet", "no ids=2"), ("c.jsonl", "not parquet")}
+
+
+def test_code_hash_follows_the_imports():
+    a = gate.code_hash("galenus.operators.recall")
+    assert a == gate.code_hash("galenus.operators.recall") != gate.code_hash("galenus.functions.lots") and len(a) == 64
+    assert gate.unexpected_missing({"a", "b", "c"}, {"a"}, {"c"}) == ["b"]
