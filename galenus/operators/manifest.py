@@ -7,6 +7,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from galenus.operators.checkpoints import put
+
 
 def canonical(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), default=str)
@@ -19,13 +21,8 @@ def manifest(kind: str, inputs: list[dict], counts: dict, config: dict) -> dict:
 
 def write_manifest(path: str, **parts) -> str:
     """Write the manifest beside its data, in whatever store the path names; returns the config digest."""
-    m, session = manifest(**parts), SparkSession.active()
-    target = session._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(session._jsc.hadoopConfiguration()).create(target, True)
-    try:
-        out.write(bytearray(json.dumps(m, indent=1, sort_keys=True, default=str).encode()))
-    finally:
-        out.close()
+    m = manifest(**parts)
+    put(SparkSession.active(), path, json.dumps(m, indent=1, sort_keys=True, default=str).encode())
     return m["config_sha256"]
 
 
