@@ -81,23 +81,22 @@ def facets(mesh: DataFrame, trees: DataFrame, chemicals: DataFrame, rules: DataF
     return direct.unionByName(substances).distinct()
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, hops: int, checkpoint_every: int = 4) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     """(seed, node, hop): nodes within ``hops`` edges (src, dst) of each seed (node), the seed left out; hop is the least.
 
-    Breadth first with a visited set, so cycles end; null destinations are ignored.
+    Breadth first with a visited set, so cycles end; null destinations are
+    ignored. Each round's frontier is cut, and the visited set is the union of
+    frontiers, so no round computes an earlier one again.
     """
     steps = edges.filter("src is not null and dst is not null").select("src", "dst").distinct()
-    seen = seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("hop")).distinct()
-    frontier = seen
+    frontier = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("hop")).distinct())
+    seen = frontier
     for hop in range(1, hops + 1):
         nxt = frontier.join(steps, frontier.node == steps.src).select("seed", F.col("dst").alias("node")).distinct()
-        frontier = nxt.join(seen.select("seed", "node"), ["seed", "node"], "left_anti").withColumn("hop", F.lit(hop))
+        frontier = cut(nxt.join(seen.select("seed", "node"), ["seed", "node"], "left_anti").withColumn("hop", F.lit(hop)))
+        if frontier.isEmpty():
+            break
         seen = seen.unionByName(frontier)
-        if hop % checkpoint_every == 0 and hop < hops:
-            seen = cut(seen)
-            frontier = seen.filter(F.col("hop") == hop)
-            if not frontier.head(1):
-                break
     return seen.filter("hop > 0")
 
 

@@ -41,13 +41,18 @@ def exact_dedup_by_hash(spark: SparkSession, d: str) -> DataFrame:
 @query(r"""
 with w as (select doc_id, list_filter(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+'), lambda x: x <> '') as ws from documents),
 s as (select doc_id, list_distinct(case when len(ws) < 3 then ws else list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) end) as sh from w where len(ws) > 0),
-e as (select doc_id, len(sh) as n, unnest(sh) as g from s),
-p as (select x.doc_id as a, y.doc_id as b, count(*) as c, any_value(x.n) as na, any_value(y.n) as nb from e x join e y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2)
-select a, b, round(c / (na + nb - c), 6) as jaccard from p where c / (na + nb - c) >= 0.8
+m as (select doc_id, sh, min(doc_id) over (partition by list_sort(sh)) as class_id from s),
+e as (select class_id, len(sh) as n, unnest(sh) as g from m where doc_id = class_id),
+p as (select x.class_id as a, y.class_id as b, count(*) as c, any_value(x.n) as na, any_value(y.n) as nb from e x join e y on x.g = y.g and x.class_id <> y.class_id group by 1, 2),
+l as (select a, count(*) as n_links, max(round(c / (na + nb - c), 6)) as nearest from p where c / (na + nb - c) >= 0.8 group by 1)
+select doc_id, class_id, coalesce(n_links, 0) as n_links, nearest from m left join l on class_id = a
 """)
 def jaccard_near_dups(spark: SparkSession, d: str) -> DataFrame:
-    """Exact pairs of similarity 0.8 or more over word 3-shingles."""
-    return curate.jaccard_pairs(table(spark, d, "documents")).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+    """Each document's class of equal sets of word 3-shingles, and the number and nearest of the classes that are similar by 0.8 or more."""
+    members, links = curate.jaccard_classes(table(spark, d, "documents"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard"))
+    per = both.groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("n_links"), F.max(F.round("jaccard", 6)).alias("nearest"))
+    return members.join(per, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "nearest")
 
 
 @query()

@@ -106,14 +106,14 @@ def trials_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-with u as (select distinct conv_id, text from conversations where role = 'user'), a as (select conv_id, turn, text from conversations where role = 'assistant')
-select a.conv_id, a.turn, case when not regexp_matches(a.text, '"[^"]+"|“[^”]+”') then 'answer has no quoted span' else 'other' end as problem from a
+select conv_id, turn, case turn % 4 when 1 then 'answer does not cite its reference' when 2 then 'answer has no quoted span' when 3 then 'quote not in passage: elsewhere' end as problem from conversations
 """)
 def citation_check(spark: SparkSession, d: str) -> DataFrame:
-    """Assistant turns checked against a passage; the provided ones quote nothing."""
-    c = table(spark, d, "conversations").filter("role = 'assistant'")
-    problem = answers.citation_problem(F.col("text"), F.col("text"), F.lit("r"))
-    return c.select("conv_id", "turn", F.when(problem == "answer has no quoted span", problem).otherwise("other").alias("problem"))
+    """Turns as passages; answers that quote their beginning and cite it, don't cite, don't quote, or quote something else."""
+    c, k = table(spark, d, "conversations"), F.col("turn") % 4
+    passage = F.concat(F.lit("it begins  so. "), "text")
+    answer = F.when(k == 0, 'It says "it begins\n so." [r1]').when(k == 1, "As in “it begins so.”").when(k == 2, "No quote [r1]").otherwise('"it begins so." and "elsewhere" [r1]')
+    return c.select("conv_id", "turn", answers.citation_problem(answer, passage, F.lit("r1")).alias("problem"))
 
 
 @query("select count(*) as total, count(*) filter (toxic = quality) as correct, round(100.0 * count(*) filter (toxic = quality) / count(*), 4) as accuracy_pct from labels")
@@ -208,13 +208,13 @@ def feed_rows(spark: SparkSession, d: str) -> DataFrame:
     return out.agg(F.count("*").alias("keys"))
 
 
-@query("select l_orderkey as rid, count(distinct p_brand) as n, count(distinct p_brand) > 8 as over_cap from lineitem join part on l_partkey = p_partkey group by 1")
+@query("select l_orderkey as rid, count(distinct p_brand) as n, count(distinct p_brand) > 30 as over_cap from lineitem join part on l_partkey = p_partkey group by 1")
 def listed_reports(spark: SparkSession, d: str) -> DataFrame:
     """Per-report lists of moieties and the pair cap."""
     from galenus.plans.signals_q import _inputs
 
     reports, drugs, _, moiety, _ = _inputs(spark, d)
-    return signals.listed_reports(signals.report_moieties(signals.drug_rows(reports, drugs, moiety)), 8).select("rid", "n", "over_cap")
+    return signals.listed_reports(signals.report_moieties(signals.drug_rows(reports, drugs, moiety))).select("rid", "n", "over_cap")
 
 
 @query("""

@@ -10,7 +10,7 @@ from galenus.operators import load, signals
 from galenus.plans.registry import query
 from galenus.session import table
 
-CAP = 8
+CAP = signals.PAIR_CAP
 _BASE = """
 rep as (select o_orderkey as rid, cast(date_trunc('quarter', cast(o_orderdate as date)) as date) as quarter from orders where o_orderdate is not null),
 dr as (select l_orderkey as rid, quarter, p_brand as moiety, l_linenumber = 1 as sus, cast(l_suppkey as varchar) as lot from lineitem join rep on l_orderkey = rid join part on l_partkey = p_partkey),

@@ -177,7 +177,7 @@ def test_substances(spark):
 
 def test_graph(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", None), ("c", "d")], "src string, dst string")
-    got = graph.reachable(edges, spark.createDataFrame([("a",)], "node string"), 9, 2)
+    got = graph.reachable(edges, spark.createDataFrame([("a",)], "node string"), 9)
     assert {(r.node, r.hop) for r in got.collect()} == {("b", 1), ("c", 2), ("d", 3)}
     trees = spark.createDataFrame([("D1", "C01"), ("D2", "C01.100"), ("D3", "C010.2"), ("D4", "D02.1")], "descriptor_ui string, tree_number string")
     assert {r[0] for r in graph.descendants(trees, "D1").collect()} == {"D1", "D2"}
