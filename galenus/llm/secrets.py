@@ -42,9 +42,11 @@ SEGMENT_ROWS = 4096
 MASK = "[SECRET]"
 
 # What belongs to a pem header: all up to the END line or, where that is missing, the key's own headers and base64 lines.
-_GAP = r"\s*(?:\\[nr]\s*){0,4}"
-_BASE64 = rf"(?:{_GAP}(?:Proc-Type|DEK-Info): [^\r\n\\]*){{0,2}}(?:{_GAP}[A-Za-z0-9+/]{{32,}}={{0,2}}){{1,1000}}(?:[ \t]*(?:\r?\n|\\n)[ \t]*[A-Za-z0-9+/]{{1,31}}={{0,2}}(?=[ \t]*(?:$|[\r\n\\\"'])))?"
-PEM_BODY = rf"^(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END [A-Z ]*PRIVATE KEY-----|{_BASE64})"
+# Groups repeat possessively: a greedy one takes a frame of the stack for each line, and a long key would overflow it.
+_GAP = r"\s*+(?:\\[nr]\s*+){0,4}+"
+_LAST_LINE = r"(?:[ \t]*+(?:\r?\n|\\n)[ \t]*+[A-Za-z0-9+/]{1,31}+={0,2}+(?=[ \t]*(?:$|[\r\n\\\"'])))?"
+_BASE64 = rf"(?:{_GAP}(?:Proc-Type|DEK-Info): [^\r\n\\]*+){{0,2}}+(?:{_GAP}[A-Za-z0-9+/]{{32,}}+={{0,2}}+)++{_LAST_LINE}"
+PEM_BODY = rf"^(?:[^-]*+(?:-{{1,4}}+[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----|{_BASE64})"
 _SPAN = "struct<start:int,ord:int,end:int,kind:string>"
 
 

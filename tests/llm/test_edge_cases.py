@@ -197,6 +197,8 @@ def test_private_keys_are_masked_whole(spark):
         f"\U0001f600 {begin}\n{full}\nand plain words\n{begin}\n{full}\n{end} c": "\U0001f600 [SECRET]\nand plain words\n[SECRET] c",
         f"{begin}\n" + f"{full}\n" * 1000 + "plain words": "[SECRET]\nplain words",
         f"{begin}\n" + f"{full}\n" * 5000 + end + " d": "[SECRET] d",
+        f"{begin}\n" + f"{full}\n" * 60_000 + "plain - words": "[SECRET]\nplain - words",
+        f"{begin}\n" + "a - b " * 60_000 + end + " e": "[SECRET] e",
         f"{begin}\n" + "plain - words " * 5000: "[SECRET]\n" + "plain - words " * 5000,
     }
     docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(cases)], "doc_id long, text string, n_chars long")
@@ -211,3 +213,25 @@ def test_stages_keep_the_columns(spark, docs, sf):
             out = stage(spark, table, sf)
             assert out.columns == base.columns
             assert out.count() <= table.count()
+
+
+def test_stages_on_null_ids_repeats_and_empty_texts(spark, docs, sf):
+    """What each stage leaves of the edge cases: null ids and the rest of each group stay, repeats of one id become one row."""
+    now = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    ids = {"toxicity": [1, 2, 3, 4, 5, 6, 7, 8, 8, 9, 10], "simhash": [1, 4, 5, 6, 8, 9, 10], "decontamination": [1, 4, 5, 6, 8, 9, 10], "secrets": [1, 4, 5, 6, 8, 9, 10]}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, sf)
+        rows = now.collect()
+        assert sorted(r.doc_id for r in rows if r.doc_id is not None) == ids[name] and sum(r.doc_id is None for r in rows) == 2
+    texts = {r.doc_id: r.text for r in rows if r.doc_id is not None}
+    assert texts[1] is None and texts[9].startswith("[SECRET]") and texts[5] == LONG and texts[10] == TEXTS[-1][1]
+    packed = corpus_pipeline.STAGES[-1][1](spark, now, sf).collect()
+    assert sum(r.length for r in packed) == sum(len(packing.encode(r.text or "")) for r in rows)
+
+
+def test_clashing_columns(spark, sf):
+    """Extra columns named like the results change none of them."""
+    base = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").limit(40)
+    more = base.select("*", *(F.lit("x").alias(c) for c in ("held_out", "lang_pred", "score", "licenses", "license", "spans", "words", "grams", "places", "found", "notices", "best", "row", "seen", "base", "n_found", "fp", "key", "at", "known")))
+    for f in (language.identify_languages, licenses.license_scan, pii.find_personal_data, secrets.find_secrets, simhash.near_duplicates):
+        assert sorted(map(str, f(base).collect())) == sorted(map(str, f(more).collect()))
