@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Values of a column that are brought to the driver at most.
+MOST_VALUES = 10_000
+
+
 def _pct(part: Column, whole: Column) -> Column:
     return F.round(100.0 * part / F.nullif(whole, F.lit(0)), 4)
 
@@ -109,8 +113,11 @@ def measures(*frames: DataFrame) -> dict:
 
 
 def count_map(rows: DataFrame, column: str) -> dict:
-    """value -> count of a column with few values."""
-    return {r["value"]: r["n"] for r in histogram(rows, column).collect()}
+    """value -> count of a column with at most MOST_VALUES values; ValueError beyond."""
+    found = histogram(rows, column).limit(MOST_VALUES + 1).collect()
+    if len(found) > MOST_VALUES:
+        raise ValueError(f"{column} has over {MOST_VALUES} values")
+    return {r["value"]: r["n"] for r in found}
 
 
 def report_measures(reports: DataFrame, drugs: DataFrame, reactions: DataFrame, pairs: DataFrame, events: DataFrame, entries: DataFrame, bridged: DataFrame) -> DataFrame:

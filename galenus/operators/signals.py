@@ -50,9 +50,10 @@ def moiety_map(bridged: DataFrame, substances: DataFrame) -> DataFrame:
 
 
 def canonical_terms(terms: DataFrame) -> DataFrame:
-    """(term_id, canonical): the least id of equal normalised terms."""
-    w = Window.partitionBy("term_norm")
-    return terms.select("term_id", F.min("term_id").over(w).alias("canonical"))
+    """(term_id, canonical): the least id of equal normalised terms. The least is aggregated before the join, so a common term is no one task's work."""
+    least = terms.groupBy("term_norm").agg(F.min("term_id").alias("canonical"))
+    same = F.col("t.term_norm").eqNullSafe(F.col("l.term_norm"))
+    return terms.alias("t").join(least.alias("l"), same).select("t.term_id", "l.canonical")
 
 
 def winners(reports: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def read_obo(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(terms: id, name, definition, is_obsolete; header: licence) of stanzas between blank lines."""
     stanzas = spark.read.option("lineSep", "\n\n").text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
     tag = lambda k: F.nullif(F.regexp_extract("value", rf"(?m)^{k}: ([^\r\n]*)", 1), F.lit(""))
-    quoted = F.regexp_replace(F.regexp_extract("value", r'(?m)^def: "((?:[^"\\]|\\.)*)"', 1), r"\\(.)", "$1")
+    quoted = F.regexp_replace(F.regexp_extract("value", r'(?m)^def: "((?:[^"\\]++|\\.)*+)"', 1), r"\\(.)", "$1")
     terms = stanzas.filter(F.col("value").rlike(r"^\s*\[Term\]")).select(
         tag("id").alias("id"), tag("name").alias("name"), F.nullif(quoted, F.lit("")).alias("definition"), F.coalesce(tag("is_obsolete") == "true", F.lit(False)).alias("is_obsolete"), "source_file"
     )
