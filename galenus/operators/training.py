@@ -44,12 +44,12 @@ def build_slice(rows: DataFrame, target_tokens: int, weights: dict[str, float] |
     shares = keep_share(usable.filter("subset = 'commercial'"), target_tokens, weights)
     hash_ = F.coalesce("content_hash", F.sha2("text", 256))
     marked = rows.withColumn("_hash", hash_).join(F.broadcast(shares.select("source", "share")), "source", "left")  # a row per source
-    draw = F.pmod(F.xxhash64("_hash", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    draw = F.conv(F.substring(F.sha2(F.concat("_hash", F.lit(str(seed))), 256), 1, 8), 16, 10).cast("double") / (1 << 32)
     state = (
         F.when(F.col("source").isin(*excluded) if excluded else F.lit(False), "refused_excluded")
         .when(~F.coalesce(F.col("subset") == "commercial", F.lit(False)), "non_commercial")
         .when(F.col("share").isNull(), "skipped_no_weight")
-        .when(draw >= F.col("share"), "not_sampled")
+        .when(F.col("_hash").isNull() | (draw >= F.col("share")), "not_sampled")
         .otherwise("sampled")
     )
     marked = marked.withColumn("outcome", state)

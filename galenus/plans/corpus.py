@@ -108,9 +108,14 @@ def token_quota_by_source(spark: SparkSession, d: str) -> DataFrame:
     return training.keep_share(table(spark, d, "documents"), 100_000).select("source", F.col("tokens").cast("long").alias("tokens"), F.round("share", 9).alias("share"))
 
 
-@query()
+@query(r"""
+with d as (select doc_id, source, case when text <> '' then sha256(text) end as content_hash, sha256(text) as h, len(regexp_extract_all(coalesce(text, ''), '\S+'))::double as n from documents),
+s as (select source, sum(n) as tokens from d group by 1), t as (select sum(tokens) as total from s),
+k as (select d.*, least(1.0, 100000.0 * tokens / total / nullif(tokens, 0)) as share, ('0x' || substr(sha256(h || '7'), 1, 8))::bigint::double / 4294967296 as draw from d join s using (source), t)
+select doc_id, source, content_hash from (select *, row_number() over (partition by h order by doc_id) as r from k where draw < coalesce(share, 0)) where r = 1
+""")
 def slice_sample(spark: SparkSession, d: str) -> DataFrame:
-    """Hash-sampled slice of about 100,000 tokens; Spark's hash isn't available in SQL elsewhere."""
+    """A slice of about 100,000 tokens; the draw is a digest of content and seed."""
     docs = table(spark, d, "documents").withColumn("subset", F.lit("commercial")).withColumn("content_hash", text.content_hash(F.col("text")))
     kept, _ = training.build_slice(docs, 100_000, seed=7, order="doc_id")
     return kept.select("doc_id", "source", "content_hash")

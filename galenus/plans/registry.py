@@ -24,7 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from galenus.plans import columns, corpus, formats, graphs, loads, more, quality, signals_q  # noqa: F401
+    from galenus.plans import columns, corpus, flows, formats, graphs, loads, more, quality, signals_q  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
