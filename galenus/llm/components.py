@@ -21,7 +21,7 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.filter("u > v").distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, root) for each node of ``edges`` (u, v): root is the smallest node of its component.
 
     Alternating stars: each round is two aggregations and joins on the node, so
@@ -29,9 +29,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     written to the shared folder, and the rounds end when the edges stay as they
     are, which then form stars.
 
-    Loops and repeated edges are no harm; nulls are left out; no edges, no rows.
+    Loops and repeated edges are no harm; nulls are left out; no edges, no rows. ``rows``, about how many edges there are, only
+    sets the number of files of the first table; no round has more edges than the one before.
     """
-    now = as_table(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now = as_table(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", rows)
     sign = None
     while True:
         new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v"))).head())
@@ -40,6 +41,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         sign = new
         if not new[0]:
             break
-        now = as_table(_star(_star(now, True), False), "edges")
+        now = as_table(_star(_star(now, True), False), "edges", new[0])
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -14,6 +15,9 @@ BROADCAST_BYTES = 4 << 20
 #: Bytes of one Arrow batch, about. A single text can be larger and then is a batch of its own.
 BATCH_BYTES = 16 << 20
 
+#: Rows, about, of a file of a table whose number of rows is known.
+FILE_ROWS = 1 << 13
+
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which all executors share.
@@ -30,8 +34,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives a lost executor."""
+def as_table(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives a lost executor.
+
+    ``rows``, about how many there are, keeps a small table from being written as a file for each shuffle partition. On a local
+    file system Spark starts a process for the permissions of each file (and one for its checksums), which for a moment shows
+    the executor's memory a second time.
+    """
+    if rows is not None:
+        df = df.coalesce(max(1, math.ceil(rows / FILE_ROWS)))
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

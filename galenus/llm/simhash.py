@@ -25,8 +25,9 @@ DENSE_KEY = 1024
 #: Bytes of a key row, and of them in one shuffle partition.
 KEY_BYTES, PARTITION_BYTES, KEYS_EACH = 16, 64 << 20, 117
 
-#: Sorted rows that a verifying task holds at a time, besides one key's.
-HELD_ROWS = 1 << 17
+#: Sorted rows that a verifying task holds at a time, besides one key's. Up to so many members, keys are compared side by side, with
+#: all links of the rows held at a time; the links of larger keys are a tree each, as those of all pairs can take gigabytes.
+HELD_ROWS, SHORT_RUN = 1 << 17, 16
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -105,6 +106,23 @@ def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return u[keep], v[keep]
 
 
+def _tree(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``len(fps) - 1`` links that connect the fingerprints as all pairs within MAX_BITS do: what is reached leaves the rest."""
+    left = np.unique(fps).view(np.uint64)
+    us, vs = [left[:0]], [left[:0]]
+    while len(left):
+        reached, left = [left[0]], left[1:]
+        while reached and len(left):
+            x = reached.pop()
+            near = np.bitwise_count(left ^ x) <= MAX_BITS
+            if near.any():
+                us.append(left[near])
+                vs.append(np.full(len(us[-1]), x))
+                reached.extend(us[-1])
+                left = left[~near]
+    return np.concatenate(us).view(np.int64), np.concatenate(vs).view(np.int64)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key: verified links that connect what all those within the keys do, and the members of dense keys as loops (u, u)."""
     keys = fps = np.zeros(0, dtype=np.int64)
@@ -115,10 +133,14 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = np.diff(np.concatenate((first, [len(keys)])))
         of_row = np.repeat(run, run)
         loops = fps[of_row > DENSE_KEY]
-        keep = (of_row > 1) & (of_row <= DENSE_KEY)
+        us, vs = [fps[:0]], [fps[:0]]
+        for at in np.flatnonzero((run > SHORT_RUN) & (run <= DENSE_KEY)):
+            u, v = _tree(fps[first[at] : first[at] + run[at]])
+            us.append(u)
+            vs.append(v)
+        keep = (of_row > 1) & (of_row <= min(SHORT_RUN, DENSE_KEY))
         k, f, n = keys[keep], fps[keep], of_row[keep]
-        us, vs = [k[:0]], [k[:0]]
-        for d in range(1, DENSE_KEY):
+        for d in range(1, SHORT_RUN):
             if d & (d - 1) == 0:  # short runs are done
                 left = n > d
                 k, f, n = k[left], f[left], n[left]
@@ -171,15 +193,31 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     members yields no pairs: its members get the centres of all balls of radius
     2 that hold them, and meet exactly where they are within 4 bits, as a chain.
     """
-    n = max(partitions(fps.sparkSession), math.ceil(fps.count() * KEYS_EACH * KEY_BYTES / PARTITION_BYTES))
+    count = fps.count()
+    n = max(partitions(fps.sparkSession), math.ceil(count * KEYS_EACH * KEY_BYTES / PARTITION_BYTES))
     bounded_batches(fps.sparkSession)
     keyed = fps.select("fp").mapInArrow(_golay_keys, "key long, fp long").repartition(n, "key").sortWithinPartitions("key", "fp")
-    found = as_table(keyed.mapInArrow(_verify, "u long, v long").distinct(), "links")
+    found = as_table(keyed.mapInArrow(_verify, "u long, v long").distinct(), "links", count)
     dense = found.filter("u = v").select(F.col("u").alias("fp")).repartition(n, "fp")
     balls = dense.mapInArrow(_ball_keys, "key long, fp long").repartition(n, "key").sortWithinPartitions("key", "fp")
     return found.filter("u <> v").unionByName(balls.mapInArrow(_chain, "u long, v long"))
 
 
+def _classes(docs: DataFrame) -> tuple[DataFrame, int]:
+    """What ``near_duplicates`` returns, and its number of rows."""
+    spark = docs.sparkSession
+    rows = as_table(fingerprints(docs), "fingerprints")
+    count = rows.count()
+    nodes = as_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).repartition(partitions(spark), "fp"), "nodes", count)
+    distinct = nodes.count()
+    roots = as_table(connected_components(fingerprint_links(nodes), distinct), "roots", distinct)
+    named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    table = as_table(named.join(ids, "root").select("fp", "component_id"), "classes", distinct)
+    out = rows.join(maybe_broadcast(table, 32, distinct), "fp")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"), count
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text; other columns are not read).
 
@@ -189,15 +227,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     any other; a null doc_id gets its component and never names one unless the
     component has no other, then component_id is null; repeated rows stay.
     """
-    spark = docs.sparkSession
-    rows = as_table(fingerprints(docs), "fingerprints")
-    nodes = as_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).repartition(partitions(spark), "fp"), "nodes")
-    roots = as_table(connected_components(fingerprint_links(nodes)), "roots")
-    named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    table = as_table(named.join(ids, "root").select("fp", "component_id"), "classes")
-    out = rows.join(maybe_broadcast(table, 32), "fp")
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return _classes(docs)[0]
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
@@ -206,9 +236,9 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     Rows that repeat a doc_id are one document, of which one row stays. Rows
     without a doc_id can't be named and stay.
     """
-    classes = near_duplicates(docs)
+    classes, count = _classes(docs)
     ids = classes.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
-    ids = as_table(ids.filter("doc_id <> least or n > 1"), "gone")
+    ids = as_table(ids.filter("doc_id <> least or n > 1"), "gone", count)
     gone, again = ids.filter("doc_id <> least").select("doc_id"), ids.filter("doc_id = least").select("doc_id")
     kept = docs.join(maybe_broadcast(gone, 32), "doc_id", "left_anti").select(*docs.columns)
     if not again.head(1):

@@ -7,8 +7,10 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 
@@ -99,6 +101,53 @@ def test_dense_groups_resolve_exactly(spark, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, found.values()))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 11), max_size=6), max_size=40))
+def test_trees_connect_what_all_pairs_do(flips):
+    fps = [sum(1 << 5 * b for b in set(f)) for f in flips]
+    u, v = simhash._tree(np.array(fps + fps[:2], dtype=np.int64))
+    links = list(zip(u.tolist(), v.tolist(), strict=True))
+    assert len(links) <= max(0, len(set(fps)) - 1) and all(0 < (x ^ y).bit_count() <= 4 for x, y in links)
+    want = plain_components({f: f for f in fps})
+    root = {f: f for f in fps}
+    for x, y in links:
+        old, new = root[x], root[y]
+        root = {f: new if r == old else r for f, r in root.items()}
+    assert all((want[x] == want[y]) == (root[x] == root[y]) for x in fps for y in fps)
+
+
+def test_keys_of_many_near_copies_take_little_memory():
+    """Ten keys of 1,000 members that are all within 4 bits: 5 million pairs."""
+    rng = np.random.default_rng(3)
+    bases = rng.integers(0, 1 << 63, 10, dtype=np.int64).view(np.uint64)
+    fps = np.concatenate([np.sort((b ^ golay.ball_masks()[:1000]).view(np.int64)) for b in bases])
+    batch = pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(10), 1000)), pa.array(fps)], names=["key", "fp"])
+    tracemalloc.start()
+    links = [link for b in simhash._verify(iter([batch])) for link in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(links)) == len(links) == 10 * 999 and all(((x ^ y) & (1 << 64) - 1).bit_count() <= 4 for x, y in links)
+    assert len({x for link in links for x in link}) == 10_000 and peak < 30e6
+
+
+def test_small_tables_are_few_files(spark, docs):
+    """Whatever the number of shuffle partitions; each file starts processes beside the executor."""
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.iterdir())
+    old = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        simhash.keep_representatives(docs).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    files = {p.name: len(list(p.glob("part-*.parquet"))) for p in set(shared.iterdir()) - before}
+    assert {"nodes", "links", "edges", "roots", "classes", "gone"} <= {name.rsplit("-", 1)[0] for name in files}
+    assert max(files.values()) == 1, files
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (8, 7), (8, 7)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
